@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, exact, mixing, quality
+from tablewright.llm import chat, exact, mixing, packing, quality, token_counts, token_files
+from tablewright.llm.shared import table_path
 
 MIX_WEIGHTS = {
     "domain": {"d0": 3, "d1": 2, "d2": 1},
@@ -23,6 +24,16 @@ def domain_of(source: str = "source") -> Column:
     return F.concat(F.lit("d"), (F.ascii(F.right(F.col(source), F.lit(1))) % 3).cast("string"))
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.select_by_budget(
         table(spark, sf_dir, "documents"),
@@ -48,6 +59,15 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_and_read_back(turns.unionByName(extra))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write_and_read_back(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, vocabulary("word_bpe_49k.json"), table_path(spark, "token-counts"))
+
+
 def op8_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -60,8 +80,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op4_mixing": op4_mixing,
     "op5_chat": op5_chat,
+    "op6_token_files": op6_token_files,
+    "op7_token_counts": op7_token_counts,
     "op8_exact": op8_exact,
     "op9_quality": op9_quality,
 }
