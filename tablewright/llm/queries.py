@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, exact, mixing, packing, quality, token_counts, token_files
+from tablewright.llm import chat, exact, language, maintext, mixing, packing, quality, token_counts, token_files
 from tablewright.llm.shared import table_path
 
 MIX_WEIGHTS = {
@@ -34,6 +34,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.main_text(table(spark, sf_dir, "pages"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.select_by_budget(
         table(spark, sf_dir, "documents"),
@@ -81,6 +89,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_main_text": op2_main_text,
+    "op3_language": op3_language,
     "op4_mixing": op4_mixing,
     "op5_chat": op5_chat,
     "op6_token_files": op6_token_files,
