@@ -126,3 +126,10 @@ def select_by_budget(
     inside = W.partitionBy(*key, "slot").orderBy("h").rangeBetween(W.unboundedPreceding, -1)
     part = j.filter(ends).withColumn("at", F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     return whole.unionByName(part.filter(F.col("at") < F.col("need")).select(*out))
+
+
+def keep_selected(docs: DataFrame, domain: Column, total: Column, weights: dict[str, dict[str, int]], seed: int = SEED, doc_id: str = "doc_id", **names) -> DataFrame:
+    """The documents within their leaf's budget, once each, with their own columns."""
+    picked = select_by_budget(docs, domain, total, weights, max_epochs=1, seed=seed, doc_id=doc_id, **names)
+    picked = picked.select(F.col("doc_id").alias("picked_id")).distinct()
+    return docs.join(picked.hint("shuffle_hash"), docs[doc_id].eqNullSafe(picked["picked_id"]), "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, exact, language, maintext, mixing, packing, quality, token_counts, token_files
+from tablewright.llm import chat, exact, language, maintext, mixing, near, packing, quality, token_counts, token_files
 from tablewright.llm.shared import table_path
 
 MIX_WEIGHTS = {
@@ -87,6 +87,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_main_text": op2_main_text,
@@ -97,4 +101,5 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_exact": op8_exact,
     "op9_quality": op9_quality,
+    "op10_near": op10_near,
 }
