@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import text_or_empty
+from tablewright.llm.shared import map_arrow, text_or_empty
 
 CAPACITY = 2048
 FILL = 0.98
@@ -133,4 +133,4 @@ def pack(
             yield table(placed)
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return d.mapInArrow(work, SCHEMA + ", ids binary" * with_ids)
+    return map_arrow(d, work, SCHEMA + ", ids binary" * with_ids)
