@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import table_path, text_or_empty
+from tablewright.llm.shared import map_arrow, table_path, text_or_empty
 
 BLOCK_IDS = 65_536
+#: Chunks that the encoder keeps, about 120 MB for each generation: encoding is nearly all of the work here.
+CHUNK_LIMIT = 600_000
 END_ID = 2
 BLOCKS = "shard int, block int, first long, bits int, n_ids long, doc_ids array<long>, offsets array<long>, payload binary"
 ROWS = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
@@ -62,7 +64,7 @@ def token_blocks(
 
         from tablewright.llm.tokenize import encoder
 
-        enc, end = encoder(tokenizer), end_id.to_bytes(4, "little")
+        enc, end = encoder(tokenizer, CHUNK_LIMIT), end_id.to_bytes(4, "little")
         bits, shard = width(max(enc.vocabulary, end_id + 1)), TaskContext.get().partitionId()
         longs = pa.list_(pa.int64())
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), longs, longs, pa.binary()]
@@ -90,7 +92,7 @@ def token_blocks(
 
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     ordered = d.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return ordered.mapInArrow(work, BLOCKS)
+    return map_arrow(ordered, work, BLOCKS)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, **options) -> None:
@@ -123,7 +125,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     before = F.sum("n_ids").over(W.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
     base = sizes.select("shard", F.coalesce(before, F.lit(0)).alias("base"))
-    rows = blocks.select("shard", "first", "bits", "n_ids", "doc_ids", "offsets", "payload").mapInArrow(work, ROWS)
+    rows = map_arrow(blocks.select("shard", "first", "bits", "n_ids", "doc_ids", "offsets", "payload"), work, ROWS)
     return rows.join(base, "shard").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
