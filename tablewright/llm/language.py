@@ -29,6 +29,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.shared import map_arrow
+
 ORDER = 3
 PAD = b"\n" * ORDER
 MAX_DOCS, MAX_DOC_BYTES = 400, 65_536
@@ -159,4 +161,4 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names), pa.array(score), pa.array(length)], ["doc_id", "held_out", "lang_pred", "score", "bits"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (fold(doc_id) == 1).alias("held_out"), F.col(text).alias("text"))
-    return rows.mapInArrow(work, SCHEMA)
+    return map_arrow(rows, work, SCHEMA)

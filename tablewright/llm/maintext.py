@@ -28,7 +28,7 @@ from collections import deque
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import text_or_empty
+from tablewright.llm.shared import map_arrow, text_or_empty
 
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long, n_content long"
 
@@ -294,4 +294,4 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string()), *more], ["page_id", "url", "text", "n_chars", "n_blocks", "n_content"])
 
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), text_or_empty(html).alias("html"))
-    return rows.mapInArrow(work, SCHEMA)
+    return map_arrow(rows, work, SCHEMA)

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 #: The characters that separate words, as a set for trim() and as a regular expression.
 SPACES = " \t\n\x0b\x0c\r"
@@ -28,16 +29,43 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back. This cuts the lineage:
     a lost executor costs a re-read of files, not a recomputation, and rows that carry generated
-    ids keep them."""
+    ids keep them. few: for tables that are small beside the input, two files for each core at most."""
     spark = df.sparkSession
     path = table_path(spark, name)
+    if few:
+        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df, computed once for several uses and kept on the executors' disks. For tables of small rows that are no part
+    of a longer chain (plans hold the plans of what they keep): what a lost executor held is computed again from its
+    inputs. spark.catalog.clearCache() frees it."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def text_or_empty(column: str | Column) -> Column:
     """Null texts count as empty ones."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+
+
+#: Rows that go to a Python worker at a time. Whole texts travel, so the default of 10,000 would be a third of a
+#: gigabyte of long documents.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker and the JVM's buffers hold of a batch; never raises the session's own bound."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def map_arrow(df: DataFrame, work, schema: str) -> DataFrame:
+    """mapInArrow in small batches."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(work, schema)
