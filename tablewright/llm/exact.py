@@ -1,7 +1,10 @@
 r"""Exact dedup by content-defined chunk recipes (native).
 
 A text, after deleting the characters of [\x20\x09-\x0D], is cut into chunks whose ends follow
-from the content: the first punctuation mark after min_chunk characters, or max_chunk characters.
+from the content: a cut comes after five letters of fixed classes in a row, which chance makes
+about once in 800 letters, or after a full stop of scripts without such letters, if min_chunk
+characters have passed, and else after max_chunk characters. So texts that differ in one place
+soon have the same cuts again, and share the chunks between.
 A chunk's identifier is its SHA-256; length and a second, independent hash verify it: the
 dictionary of identifiers is checked for two contents under one identifier before recipes are
 compared, and the query stops if there are any. Two texts are equal when their ordered lists of
@@ -22,9 +25,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import SPACE, text_or_empty, written
+from tablewright.llm.shared import SPACE, kept, text_or_empty
 
-MIN_CHUNK, MAX_CHUNK = 512, 4096
+MIN_CHUNK, MAX_CHUNK = 64, 4096
+#: Letters by their code point modulo 4: 1, 2, 3, 0 and 1 again.
+CUT = "[aeimquyAEIMQUY][bfjnrvzBFJNRVZ][cgkoswCGKOSW][dhlptxDHLPTX][aeimquyAEIMQUY]|[\\u3002\\uff01\\uff1f\\u061f\\u0964]"
 #: More than any 64-bit id, so that (length, id) fits one decimal that keeps their order.
 ID_SPAN = "10000000000000000000"
 NO_ID = 9_223_372_036_854_775_807
@@ -45,7 +50,7 @@ def recipes(
         F.length("text").cast("long").alias("n_points"),
         F.regexp_replace("text", SPACE + "+", "").alias("norm"),
     )
-    cut = rf"(?s).{{{min_chunk - 1},{max_chunk - 1}}}?\p{{Punct}}|.{{1,{max_chunk}}}"
+    cut = rf"(?s).{{{min_chunk},{max_chunk - 5}}}?(?:{CUT})|.{{1,{max_chunk}}}"
     d = d.withColumn("chunks", F.regexp_extract_all("norm", F.lit(cut), F.lit(0)))
     return d.select(
         "doc_id",
@@ -77,7 +82,7 @@ def chunk_dictionary(recipe_rows: DataFrame) -> DataFrame:
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    r = written(recipes(docs, doc_id, text), "recipes")
+    r = kept(recipes(docs, doc_id, text))
     if chunk_dictionary(r).filter(~F.col("verified")).limit(1).count():
         raise ValueError("two chunks share a SHA-256 identifier; recipes can't be compared")
     by_id = F.coalesce("doc_id", F.lit(NO_ID)).cast("decimal(38,0)")
