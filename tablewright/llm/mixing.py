@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import written
+from tablewright.llm.shared import kept
 
 LEVELS = ("domain", "lang", "source")
 SLOTS = 1024
@@ -105,7 +105,7 @@ def select_by_budget(
         F.coalesce(F.col(source), F.lit("")).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_tokens"),
     )
-    d = written(d, "mixing-tokens")
+    d = kept(d)
     leaves = d.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
     budgets = leaf_budgets(leaves, total, weights, max_epochs)
     # Epochs that a leaf needs: whole ones and the one in which its budget ends.
