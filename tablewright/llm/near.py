@@ -9,10 +9,12 @@ chance of one in a million.
 
 Texts of equal words are one node from the start. Nodes that share a sketch meet in a bucket. In
 a bucket of up to `small` nodes all pairs are candidates. A larger one is split by the next sketch, and
-again by the one after that; at each of these levels all its nodes are also paired with two
-leaders, the least id and the least hash of ids. So candidates grow with the nodes, never with the
-square of a bucket: texts that share only a passage part ways when further sketches are asked, and
-real groups of any size are tied together by their leaders and by small buckets.
+again by the one after that; at each of these levels all its nodes are also paired with its leaders: the
+least id, the least hash of ids, and the `centres` nodes that meet the most others in all their large
+buckets. So candidates grow with the nodes, never with the square of a bucket: texts
+that share only a passage part ways when further sketches are asked, and real groups of any size are
+tied together by their centre (the texts nearest to what the others were copied from share the most
+sketches), by the leaders of about sixty buckets for each text, and by small buckets.
 
 Candidates are verified by banded alignment: with labelled k-mers the best alignment is the
 longest increasing run of common positions, and only positions that lie within the band which the
@@ -33,9 +35,10 @@ from bisect import bisect_left
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import text_or_empty, written
+from tablewright.llm.shared import kept, map_arrow, text_or_empty, written
 
 K = 5
 SIMILARITY = 0.8
@@ -43,7 +46,8 @@ SKETCHES = 20
 PICKS = 3
 SMALL = 8
 LEVELS = 3
-WORD_LIMIT = 1_000_000
+CENTRES = 6
+WORD_LIMIT = 100_000
 #: k-mers times sketches that are held at a time.
 CELLS = 2_000_000
 
@@ -154,10 +158,10 @@ def sketches_of(docs: DataFrame, sketches: int = SKETCHES, picks: int = PICKS) -
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)], ["doc_id", "digest", "keys"])
 
-    return docs.mapInArrow(work, "doc_id long, digest binary, keys array<long>")
+    return map_arrow(docs, work, "doc_id long, digest binary, keys array<long>")
 
 
-def candidate_pairs(nodes: DataFrame, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
+def candidate_pairs(nodes: DataFrame, small: int = SMALL, levels: int = LEVELS, centres: int = CENTRES) -> DataFrame:
     """nodes: id, keys -> a, b with a < b, each pair once."""
     n = F.size("keys")
     keys = F.col("keys")
@@ -171,15 +175,22 @@ def candidate_pairs(nodes: DataFrame, small: int = SMALL, levels: int = LEVELS)
     rows = rows.select("id", F.explode(F.arrays_zip(*names)).alias("b")).select("id", *[f"b.{c}" for c in names])
     found = []
     for u in range(levels):
-        sizes = rows.groupBy(f"b{u}").agg(
-            F.count(F.lit(1)).alias("n"), F.min("id").alias("lead"), F.min_by("id", F.xxhash64("id")).alias("second")
-        )
-        met = written(rows.join(sizes.filter(F.col("n") > 1), f"b{u}"), f"buckets-{u}")
-        few = met.filter(F.col("n") <= small).groupBy(f"b{u}").agg(F.collect_list("id").alias("ids"))
+        bucket = f"b{u}"
+        sizes = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        met = written(rows.join(sizes, bucket), f"buckets-{u}")
+        few = met.filter(F.col("n") <= small).groupBy(bucket).agg(F.collect_list("id").alias("ids"))
         pairs = F.flatten(F.transform("ids", lambda x: F.transform(F.filter("ids", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
         found.append(few.select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
         many = met.filter(F.col("n") > small)
-        tied = many.select("id", F.explode(F.array("lead", "second")).alias("lead")).filter(F.col("id") != F.col("lead"))
+        # How many rows a node meets in all its large buckets; low bits of a hash tell equals apart.
+        central = many.groupBy("id").agg((F.shiftleft(F.sum("n"), 16) + F.expr("xxhash64(id) & 65535")).alias("met"))
+        leads = many.groupBy(bucket).agg(F.min("id").alias("least"), F.min_by("id", F.xxhash64("id")).alias("random"))
+        leads = leads.select(bucket, F.explode(F.array("least", "random")).alias("lead"))
+        # The first rows of each bucket are found by every task for itself, so a large one is never sorted in one place.
+        order = W.partitionBy(bucket).orderBy(F.desc("met"), "id")
+        middle = many.join(central, "id").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= centres)
+        leads = leads.unionByName(middle.select(bucket, F.col("id").alias("lead"))).distinct()
+        tied = many.select("id", bucket).join(leads, bucket).filter("id <> lead")
         found.append(tied.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")))
         rows = many.select("id", *names[u + 1 :])
     pairs = found[0]
@@ -224,30 +235,30 @@ def verified_links(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILA
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text")
-    words = written(texts.mapInArrow(to_words, "id long, words binary"), "candidate-words").dropDuplicates(["id"])
+    words = kept(map_arrow(texts, to_words, "id long, words binary")).dropDuplicates(["id"])
     j = pairs.join(words.select(F.col("id").alias("b"), F.col("words").alias("words_b")), "b")
     j = j.join(words.select(F.col("id").alias("a"), F.col("words").alias("words_a")), "a")
-    return j.select("a", "b", "words_a", "words_b").mapInArrow(verify, "a long, b long, similarity double")
+    return map_arrow(j.select("a", "b", "words_a", "words_b"), verify, "a long, b long, similarity double")
 
 
 def components(links: DataFrame) -> DataFrame:
     """links: a, b -> id, root: equal roots for connected ids. Each round sends every node to the one of
     least hash among itself and its neighbours; chains shorten geometrically, as each round hashes anew."""
-    edges = written(links.select("a", "b").filter(F.col("a") != F.col("b")), "edges")
-    labels = written(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("root")), "labels")
+    edges = written(links.select("a", "b").filter(F.col("a") != F.col("b")), "edges", few=True)
+    labels = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("root"))
     turn = 0
+    # Each round's state is written, so lineage stays short.
     while edges.limit(1).count():
         turn += 1
         ends = edges.select("a", "b").union(edges.select("b", "a")).union(edges.select("a", "a")).union(edges.select("b", "b"))
         parent = ends.groupBy("a").agg(F.min_by("b", F.xxhash64(F.lit(turn), "b")).alias("parent"))
-        parent = written(parent.select(F.col("a").alias("node"), "parent"), f"parents-{turn}")
-        labels = written(
-            labels.join(parent, labels["root"] == parent["node"], "left").select("id", F.coalesce("parent", "root").alias("root")), f"labels-{turn}"
-        )
+        parent = written(parent.select(F.col("a").alias("node"), "parent"), "parents", few=True)
+        labels = labels.join(parent, labels["root"] == parent["node"], "left").select("id", F.coalesce("parent", "root").alias("root"))
+        labels = written(labels, "labels", few=True)
         moved = edges.join(parent.select(F.col("node").alias("a"), F.col("parent").alias("pa")), "a")
         moved = moved.join(parent.select(F.col("node").alias("b"), F.col("parent").alias("pb")), "b")
         moved = moved.filter(F.col("pa") != F.col("pb")).select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
-        edges = written(moved.distinct(), f"edges-{turn}")
+        edges = written(moved.distinct(), "edges", few=True)
     return labels
 
 
@@ -256,18 +267,16 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str =
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     nameless = d.filter(F.col("doc_id").isNull())
     d = d.filter(F.col("doc_id").isNotNull())
-    sketched = written(sketches_of(d), "sketches")
+    sketched = kept(sketches_of(d))
     nodes = sketched.groupBy("digest").agg(F.min("doc_id").alias("id"))
     # The keys of each node's own row; rows of other ids with the same words have the same keys.
     own = sketched.join(nodes.select(F.col("digest").alias("of"), "id"), (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("id")))
-    pairs = written(candidate_pairs(own.select("id", "keys")), "pairs")
-    links = written(verified_links(d, pairs, similarity), "links")
+    pairs = written(candidate_pairs(own.select("id", "keys")), "pairs", few=True)
+    links = written(verified_links(d, pairs, similarity), "links", few=True)
     roots = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     placed = nodes.join(roots, "id", "left").join(degree, "id", "left")
-    placed = written(
-        placed.select("digest", F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "id"), "placed"
-    )
+    placed = written(placed.select("digest", F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "id"), "placed", few=True)
     least = placed.groupBy("root").agg(F.min("id").alias("class_id"))
     placed = placed.join(least, "root").select("digest", "class_id", "n_links")
     rows = sketched.select("doc_id", "digest").join(placed, "digest")
