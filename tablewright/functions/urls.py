@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The rewrites that turn a path into its family, in this order.
 FAMILY_RULES = (
@@ -66,8 +67,7 @@ def sitemap_links(body: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(body, F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), F.lit(1))))
 
 
-@F.pandas_udf("string")
-def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
+def _join_all(base: pd.Series, href: pd.Series) -> pd.Series:
     from urllib.parse import urljoin
 
     def join(b, h):
@@ -86,7 +86,7 @@ def resolve(base: Column, href: Column, exact: bool = True) -> Column:
     library's join, unless exact is false, when it becomes null."""
     rooted = F.startswith(href, F.lit("/")) & ~F.startswith(href, F.lit("//")) & ~href.rlike(r"(^|/)\.{1,2}(/|$|[?#])|;|[?#]$")
     absolute = href.rlike(r"^[a-z]+://[^/?#\s]+/[^\s.;#?]*$")
-    other = _urljoin(base, href) if exact else F.lit(None).cast("string")
+    other = F.pandas_udf(_join_all, StringType())(base, href) if exact else F.lit(None).cast("string")
     return F.when(absolute, href).when(rooted, F.concat(url_scheme(base), F.lit("://"), url_host(base), href)).otherwise(other)
 
 

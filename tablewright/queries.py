@@ -236,15 +236,21 @@ def cells(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-ROSTER_ROW = cells("<tr><td>", num("l_linenumber"), "</td><td><a href='/football/stats/p-x", num("l_partkey"), "'>Part ", num("l_partkey"), "</a></td><td> ", F.col("l_returnflag"), "&nbsp; </td></tr>")
 ROSTER_HEAD = "<tr><th>Jersey #</th><th>Player</th><th>Pos.</th></tr>"
-STAT_ROW = cells(
-    "<tr class='", F.lower("l_linestatus"), "'><td><a href=/football/stats/p-x", num("l_partkey"), ">Part&nbsp;", num("l_partkey"), "</a></td><td>", num("l_quantity"),
-    "</td><td>", num("l_extendedprice"), "</td><td>", F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_returnflag")), "</td></tr>",
-)
 STAT_HEAD = "<tr><th>Player</th><th><a title='Quantity shipped'>Comp</a></th><th title=x>Comp</th><th>Team</th></tr>"
 STAT_TAIL = "<h3>Receiving :</h3><table><tr><th>player</th><th>yds</th></tr><tr><td>Totals</td><td>7</td></tr></table>"
-ORDER_OF_URL = F.regexp_extract("url", r"o=(\d+)$", 1).cast("long")
+
+
+def roster_row() -> Column:
+    return cells("<tr><td>", num("l_linenumber"), "</td><td><a href='/football/stats/p-x", num("l_partkey"), "'>Part ", num("l_partkey"), "</a></td><td> ", F.col("l_returnflag"), "&nbsp; </td></tr>")
+
+
+def stat_row() -> Column:
+    flag = F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_returnflag"))
+    return cells(
+        "<tr class='", F.lower("l_linestatus"), "'><td><a href=/football/stats/p-x", num("l_partkey"), ">Part&nbsp;", num("l_partkey"), "</a></td><td>", num("l_quantity"),
+        "</td><td>", num("l_extendedprice"), "</td><td>", flag, "</td></tr>",
+    )
 
 
 def order_of(c: str) -> Column:
@@ -253,13 +259,13 @@ def order_of(c: str) -> Column:
 
 @query
 def roster_roundtrip(spark, d):
-    p = order_pages(spark, d, ROSTER_ROW, ROSTER_HEAD, section="roster")
+    p = order_pages(spark, d, roster_row(), ROSTER_HEAD, section="roster")
     r = A.roster_records("statscrew", "team_season_roster", H.tables_of(p), p)
     return r.select(order_of("source_url"), "season", "team", "player", "source_player_id", "position", "row_pos")
 
 
 def stat_pages(spark, d) -> DataFrame:
-    return order_pages(spark, d, STAT_ROW, STAT_HEAD, "<h2> Passing\n Stats: </h2>", STAT_TAIL)
+    return order_pages(spark, d, stat_row(), STAT_HEAD, "<h2> Passing\n Stats: </h2>", STAT_TAIL)
 
 
 @query

@@ -81,7 +81,7 @@ def file_digests(spark: SparkSession, directory: str) -> DataFrame:
     """path (relative), bytes, sha256 of all files below but the manifest, in order."""
     root = directory.rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
-    rel = F.regexp_extract(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), "^(?:[a-z]+:/*)?(/.*)$", 1)
+    rel = F.regexp_extract("path", "^(?:[a-z]+:/*)?(/.*)$", 1)
     base = "/" + root.split(":", 1)[-1].lstrip("/") if ":" in root else root
     rel = F.substr(rel, F.lit(len(base) + 1))
     return files.select(rel.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).filter(F.col("path") != MANIFEST_NAME)
