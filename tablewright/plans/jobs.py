@@ -61,6 +61,16 @@ def max_parallel(jobs: DataFrame, sources: DataFrame) -> DataFrame:
     return met.agg(F.greatest(F.lit(1).cast("long"), F.coalesce(cap, F.lit(1))).alias("max_parallel"))
 
 
+def ci_output(jobs: DataFrame, sources: DataFrame) -> str:
+    """The two lines that a job runner reads: the matrix and how many jobs may run at once. An empty plan is an error."""
+    import json
+
+    include = [r.asDict() for r in jobs.orderBy("source", "dataset", "shard").collect()]  # one row per job to start
+    if not include:
+        raise ValueError("the selection has no jobs")
+    return f"matrix={json.dumps({'include': include})}\nmax_parallel={max_parallel(jobs, sources).first()[0]}\n"
+
+
 OLDER_ROOT = "https://www.nfl.com/players/"
 
 

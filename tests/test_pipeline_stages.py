@@ -338,3 +338,53 @@ def test_landing_stream(spark, tmp_path):
     q = counts.writeStream.format("memory").queryName("counted").outputMode("complete").option("checkpointLocation", str(tmp_path / "d")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert {(r["url_pattern"], r["pages"]) for r in spark.table("counted").collect()} == {("/a/{n}", 4)}
+
+
+def test_discovery_is_one_hop(spark):
+    from tablewright.operators.harvest import page_table_fetch
+
+    p = site(spark)
+    probes = spark.createDataFrame([(ROOT + "/football/", 0), (ROOT + "/football/y1", 1)], "url string, pos long")
+    d = D.run_discovery(probes, page_table_fetch(p), ["www.statscrew.com"], ["/football"], per_pattern=2)
+    ledger = {r["url"].removeprefix(ROOT): (r["status"], r["depth"]) for r in d.ledger.collect()}
+    assert ledger["/football/"] == ("ok", 0) and ledger["/football/y2"] == ("ok", 1) and ledger["/football/roster/t-A/y-1921"] == ("ok", 1)
+    assert "/football/roster/t-C/y-1922" not in ledger and "/other/x" not in ledger
+    assert d.patterns.filter("n_distinct_table_shapes > 0").first()["url_pattern"] == "/football/roster/t-A/y-{year}"
+    assert D.discovery_counters(d.ledger, d.patterns).first()["pages_ok"] == len(ledger)
+
+
+def test_pilot_fails_when_nothing_was_fetched(spark):
+    from tablewright.operators.gates import GateError
+    from tablewright.operators.harvest import page_table_fetch
+
+    urls = spark.createDataFrame([("u", 0), ("v", 1)], "url string, pos long")
+    fetch = page_table_fetch(spark.createDataFrame([("u", TWO)], "url string, html string"))
+    pilot = D.run_pilot("s", "/a/{n}", urls, fetch)
+    assert pilot.counters.first().asDict() == {"urls_sampled": 2, "pages_fetched": 1, "pages_failed": 1} and pilot.shapes.count() == 2
+    with pytest.raises(GateError, match="0 pages"):
+        D.run_pilot("s", "/a/{n}", urls.filter("url = 'v'"), fetch)
+
+
+def test_ci_lines(spark):
+    t = spark.createDataFrame(J.TARGETS, "source string, dataset string, shards int")
+    hosts = spark.createDataFrame([("statscrew", 1.0)], "source string, delay_seconds double")
+    lines = J.ci_output(J.plan(t, shard="1"), hosts).splitlines()
+    assert len(json.loads(lines[0].removeprefix("matrix="))["include"]) == 3 and lines[1] == "max_parallel=3"
+    with pytest.raises(ValueError, match="no jobs"):
+        J.ci_output(J.plan(t, source="x"), hosts)
+
+
+def test_command_line(spark, tmp_path):
+    from tablewright.__main__ import main
+
+    c = {"sources": {"statscrew": {"domains": ["www.statscrew.com"], "delay_seconds": 1.0, "discovery_prefixes": ["/football"], "discovery_probes": [ROOT + "/football/"], "datasets": {
+        "team_season_roster": {"first_year": 1920, "last_year": 2000, "allowed_prefixes": ["/football/"], "census_seeds": [ROOT + "/football/"]}}}}}
+    (tmp_path / "c.json").write_text(json.dumps(c))
+    site(spark).write.parquet(str(tmp_path / "pages"))
+    common = ["--catalog", str(tmp_path / "c.json"), "--source", "statscrew", "--dataset", "team_season_roster", "--pages", str(tmp_path / "pages")]
+    main(["census", *common, "--out", str(tmp_path / "census")])
+    main(["harvest", *common, "--work", str(tmp_path / "census/work"), "--out", str(tmp_path / "harvest"), "--run-id", "r1"])
+    assert spark.read.parquet(str(tmp_path / "harvest/records")).count() == 3
+    main(["discover", *common, "--out", str(tmp_path / "found")])
+    main(["report", *common, "--work", str(tmp_path / "found"), "--out", str(tmp_path / "report")])
+    assert spark.read.parquet(str(tmp_path / "report/report")).count() == spark.read.parquet(str(tmp_path / "found/patterns")).count() > 0
