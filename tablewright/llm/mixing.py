@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import kept
+from tablewright.llm.shared import written
 
 LEVELS = ("domain", "lang", "source")
 SLOTS = 1024
@@ -105,13 +105,14 @@ def select_by_budget(
         F.coalesce(F.col(source), F.lit("")).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_tokens"),
     )
-    d = kept(d)
+    d = written(d, "mixing-tokens")
     leaves = d.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
     budgets = leaf_budgets(leaves, total, weights, max_epochs)
     # Epochs that a leaf needs: whole ones and the one in which its budget ends.
     budgets = budgets.select(*LEVELS, F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))).alias("epoch"), "tokens", "budget")
     budgets = budgets.withColumn("need", F.least(F.col("budget") - F.col("epoch") * F.col("tokens"), F.col("tokens")))
-    budgets = budgets.filter(F.col("need") > 0).select(*LEVELS, "epoch", "need")
+    # A row per leaf and epoch; written, as two parts of the plan need it.
+    budgets = written(budgets.filter(F.col("need") > 0).select(*LEVELS, "epoch", "need"), "budgets", few=True)
     j = d.join(budgets, list(LEVELS)).withColumn("h", order_hash(F.col("doc_id"), F.col("epoch"), seed))
     j = j.withColumn("slot", F.shiftright("h", 48 - (slots - 1).bit_length()))
     key = [*LEVELS, "epoch"]

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import kept, map_arrow, text_or_empty, written
+from tablewright.llm.shared import map_arrow, text_or_empty, written
 
 K = 5
 SIMILARITY = 0.8
@@ -235,7 +235,7 @@ def verified_links(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILA
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text")
-    words = kept(map_arrow(texts, to_words, "id long, words binary")).dropDuplicates(["id"])
+    words = written(map_arrow(texts, to_words, "id long, words binary"), "candidate-words").dropDuplicates(["id"])
     j = pairs.join(words.select(F.col("id").alias("b"), F.col("words").alias("words_b")), "b")
     j = j.join(words.select(F.col("id").alias("a"), F.col("words").alias("words_a")), "a")
     return map_arrow(j.select("a", "b", "words_a", "words_b"), verify, "a long, b long, similarity double")
@@ -267,7 +267,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str =
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     nameless = d.filter(F.col("doc_id").isNull())
     d = d.filter(F.col("doc_id").isNotNull())
-    sketched = kept(sketches_of(d))
+    sketched = written(sketches_of(d), "sketches")
     nodes = sketched.groupBy("digest").agg(F.min("doc_id").alias("id"))
     # The keys of each node's own row; rows of other ids with the same words have the same keys.
     own = sketched.join(nodes.select(F.col("digest").alias("of"), "id"), (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("id")))

@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 #: The characters that separate words, as a set for trim() and as a regular expression.
 SPACES = " \t\n\x0b\x0c\r"
@@ -41,13 +40,6 @@ def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df, computed once for several uses and kept on the executors' disks. For tables of small rows that are no part
-    of a longer chain (plans hold the plans of what they keep): what a lost executor held is computed again from its
-    inputs. spark.catalog.clearCache() frees it."""
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
 def text_or_empty(column: str | Column) -> Column:
     """Null texts count as empty ones."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

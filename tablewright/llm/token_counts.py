@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import kept, map_arrow, text_or_empty
+from tablewright.llm.shared import map_arrow, text_or_empty, written
 from tablewright.llm.tokenize import version_digest
 
 CACHE = "tokenizer string, digest binary, n_tokens long"
@@ -51,7 +51,7 @@ def count_tokens(
     cache = spark.read.schema(CACHE).parquet(cache_path).filter(F.col("tokenizer") == version)
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     d = d.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    keyed = kept(d.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")))
+    keyed = written(d.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "digests")
 
     key = F.coalesce("doc_id", F.lit(NO_ID))
     misses = keyed.join(cache.select("digest"), "digest", "left_anti")
