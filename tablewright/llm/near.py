@@ -271,12 +271,12 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str =
     nodes = sketched.groupBy("digest").agg(F.min("doc_id").alias("id"))
     # The keys of each node's own row; rows of other ids with the same words have the same keys.
     own = sketched.join(nodes.select(F.col("digest").alias("of"), "id"), (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("id")))
-    pairs = written(candidate_pairs(own.select("id", "keys")), "pairs", few=True)
-    links = written(verified_links(d, pairs, similarity), "links", few=True)
+    pairs = written(candidate_pairs(own.select("id", "keys")), "pairs")
+    links = written(verified_links(d, pairs, similarity), "links")
     roots = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     placed = nodes.join(roots, "id", "left").join(degree, "id", "left")
-    placed = written(placed.select("digest", F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "id"), "placed", few=True)
+    placed = written(placed.select("digest", F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "id"), "placed")
     least = placed.groupBy("root").agg(F.min("id").alias("class_id"))
     placed = placed.join(least, "root").select("digest", "class_id", "n_links")
     rows = sketched.select("doc_id", "digest").join(placed, "digest")
