@@ -11,10 +11,17 @@ Texts of equal words are one node from the start. Nodes that share a sketch meet
 a bucket of up to `small` nodes all pairs are candidates. A larger one is split by the next sketch, and
 again by the one after that; at each of these levels all its nodes are also paired with its leaders: the
 least id, the least hash of ids, and the `centres` nodes that meet the most others in all their large
-buckets. So candidates grow with the nodes, never with the square of a bucket: texts
-that share only a passage part ways when further sketches are asked, and real groups of any size are
-tied together by their centre (the texts nearest to what the others were copied from share the most
-sketches), by the leaders of about sixty buckets for each text, and by small buckets.
+buckets. These links give provisional
+classes: real groups are tied together by their centre (the texts nearest to what the others were copied
+from share the most sketches), by the leaders of about sixty buckets for each text, and by small buckets.
+
+Then the rest: in each bucket of more than `small` nodes and more than one provisional class, all pairs of
+nodes of different classes are compared, in salted blocks. A text's profile counts its k-mers in BINS bins of
+their hash; the sum of the lesser counts of two profiles is at least their common k-mers, so a pair whose
+bound is below the threshold can't be a link. The others are candidates. So of any two nodes that share a
+sketch, either the pair was decided or they are in one class already, and the classes are those that
+all pairs with a common sketch would give. This compares as many pairs as the square of a bucket of many
+classes, but makes rows only of those that may be links.
 
 Candidates are verified by banded alignment: with labelled k-mers the best alignment is the
 longest increasing run of common positions, and only positions that lie within the band which the
@@ -22,7 +29,7 @@ threshold leaves open may match. Similarity is common / (all - common), the Jacc
 k-mers that agree in order; from 0.8 on it is a link. Classes are the connected components of
 links, found by contracting every node to its neighbour of least hash, round by round.
 
-Defined results: class_id is the least doc_id of the class, n_links the verified links of a row's text, and
+Defined results: class_id is the least doc_id of the class, and
 the row with doc_id = class_id is kept. Null text is empty; texts without words are one class. Rows
 with null doc_id are not compared: class_id null, kept. A doc_id that repeats with different texts ties
 them together; repeated rows share their verdict. An empty table gives no rows; other columns are ignored.
@@ -31,6 +38,7 @@ them together; repeated rows share their verdict. An empty table gives no rows;
 from __future__ import annotations
 
 import hashlib
+import itertools
 from bisect import bisect_left
 
 import numpy as np
@@ -48,6 +56,9 @@ SMALL = 8
 LEVELS = 3
 CENTRES = 6
 WORD_LIMIT = 100_000
+#: Bins of a profile, and nodes of a bucket that are compared at a time.
+BINS = 128
+BLOCK = 2048
 #: k-mers times sketches that are held at a time.
 CELLS = 2_000_000
 
@@ -119,6 +130,12 @@ def sketch_keys(x: np.ndarray, sketches: int = SKETCHES, picks: int = PICKS) ->
     return key.view(np.int64)
 
 
+def profile(x: np.ndarray) -> bytes:
+    """How many k-mers fall into each bin, a byte each; empty if a count doesn't fit, which bounds nothing."""
+    n = np.bincount((x >> np.uint64(40)).astype(np.int64) % BINS, minlength=BINS)
+    return n.astype(np.uint8).tobytes() if n.max() < 256 else b""
+
+
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
     """Similarity of two texts' labelled k-mers, or 0 if it is below the threshold."""
     both = len(a) + len(b)
@@ -142,23 +159,26 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> flo
 
 
 def sketches_of(docs: DataFrame, sketches: int = SKETCHES, picks: int = PICKS) -> DataFrame:
-    """docs: doc_id, text -> doc_id, digest (of the words), keys (none for a text without words)."""
+    """docs: doc_id, text -> doc_id, digest (of the words), keys (none for a text without words), n_kmers, profile."""
 
     def work(batches):
         import pyarrow as pa
 
         words = Words()
         for batch in batches:
-            digests, keys = [], []
+            digests, keys, sizes, profiles = [], [], [], []
             for text in batch.column(1).to_pylist():
                 w, digest = words.of(text)
                 digests.append(digest)
-                keys.append(sketch_keys(labelled_kmers(w), sketches, picks) if len(w) else np.zeros(0, np.int64))
+                x = labelled_kmers(w)
+                keys.append(sketch_keys(x, sketches, picks) if len(w) else np.zeros(0, np.int64))
+                sizes.append(len(x))
+                profiles.append(profile(x))
             ends = np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)], ["doc_id", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(sizes, pa.int64()), pa.array(profiles, pa.binary())], ["doc_id", "digest", "keys", "n_kmers", "profile"])
 
-    return map_arrow(docs, work, "doc_id long, digest binary, keys array<long>")
+    return map_arrow(docs, work, "doc_id long, digest binary, keys array<long>, n_kmers long, profile binary")
 
 
 def candidate_pairs(nodes: DataFrame, small: int = SMALL, levels: int = LEVELS, centres: int = CENTRES) -> DataFrame:
@@ -199,6 +219,68 @@ def candidate_pairs(nodes: DataFrame, small: int = SMALL, levels: int = LEVELS,
     return pairs.distinct()
 
 
+def rest_pairs(nodes: DataFrame, small: int = SMALL, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """nodes: id, keys, n_kmers, profile, root -> a, b: the pairs of nodes of different roots in large buckets whose
+    profiles leave a link possible, each once."""
+
+    def links_of(i, root, side, n, raw):
+        # The rows of one block, by size, so that the nodes whose size may fit stand in a row.
+        known = np.array([len(x) > 0 for x in raw])
+        counts = np.frombuffer(b"".join(x or bytes(BINS) for x in raw), np.uint8).reshape(len(raw), BINS)
+        ends = np.searchsorted(n, n / similarity + 1e-6, side="right")
+        crossed = side.min() != side.max()
+        for at in range(len(i)):
+            others = root[at + 1 : ends[at]] != root[at]
+            if crossed:
+                others &= side[at + 1 : ends[at]] != side[at]
+            to = np.flatnonzero(others) + at + 1
+            if known[at] and len(to):
+                most = np.minimum(counts[to], counts[at]).sum(axis=1, dtype=np.int64)
+                to = to[(most >= similarity * (n[at] + n[to] - most) - 1e-9) | ~known[to]]
+            if len(to):
+                yield np.minimum(i[at], i[to]), np.maximum(i[at], i[to])
+
+    def compare(batches):
+        import pyarrow as pa
+
+        # Blocks come in a row; the last one of a batch may go on in the next.
+        kept = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                kept = table if kept is None else pa.concat_tables([kept, table])
+            if kept is None or not kept.num_rows:
+                continue
+            names = ("bucket", "i", "j", "id", "root", "side", "n_kmers")
+            bucket, i, j, node, root, side, n = (kept.column(c).to_numpy() for c in names)
+            starts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+            ends = np.r_[starts[1:], len(bucket)]
+            done = len(starts) if batch is None else len(starts) - 1
+            if not done:
+                continue
+            raw = kept.column("profile").to_pylist()
+            for u, v in zip(starts[:done].tolist(), ends[:done].tolist(), strict=True):
+                if v - u > 1:
+                    found = list(links_of(node[u:v], root[u:v], side[u:v], n[u:v], raw[u:v]))
+                    if found:
+                        a, b = np.concatenate(found, axis=1)
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            kept = kept.slice(ends[done - 1])
+
+    rows = nodes.filter(F.size("keys") > 0).select("id", "root", F.posexplode("keys").alias("at", "key"))
+    rows = rows.select("id", "root", F.xxhash64("at", "key").alias("bucket"))
+    # Least and greatest root tell one class from several.
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("greatest"))
+    sizes = sizes.filter((F.col("n") > small) & (F.col("least") != F.col("greatest")))
+    blocks = F.ceil(F.col("n") / block)
+    many = rows.join(sizes.select("bucket", blocks.alias("blocks")), "bucket").withColumn("side", F.pmod(F.xxhash64("id"), "blocks"))
+    many = many.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    many = many.select("id", "root", "bucket", "side", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"))
+    many = many.join(nodes.select("id", "n_kmers", "profile"), "id")
+    many = many.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "n_kmers")
+    return map_arrow(many, compare, "a long, b long").distinct()
+
+
 def verified_links(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs: doc_id, text; pairs: a, b -> a, b, similarity of the pairs that pass."""
 
@@ -263,7 +345,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id, class_size (rows), n_links, kept."""
+    """One row per document: doc_id, class_id, class_size (rows), kept."""
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     nameless = d.filter(F.col("doc_id").isNull())
     d = d.filter(F.col("doc_id").isNotNull())
@@ -274,15 +356,21 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str =
     pairs = written(candidate_pairs(own.select("id", "keys")), "pairs")
     links = written(verified_links(d, pairs, similarity), "links")
     roots = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    placed = nodes.join(roots, "id", "left").join(degree, "id", "left")
-    placed = written(placed.select("digest", F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "id"), "placed")
+    first = own.select("id", "keys", "n_kmers", "profile").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    first = written(first, "provisional")
+    rest = written(rest_pairs(first, SMALL, similarity).join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
+    more = verified_links(d, rest, similarity).select("a", "b")
+    of = first.select("id", "root")
+    more = more.join(of.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(of.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
+    last = components(more.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("id").alias("root"), F.col("root").alias("whole"))
+    of = of.join(last, "root", "left").select("id", F.coalesce("whole", "root").alias("root"))
+    placed = written(nodes.join(of, "id").select("digest", "root", "id"), "placed")
     least = placed.groupBy("root").agg(F.min("id").alias("class_id"))
-    placed = placed.join(least, "root").select("digest", "class_id", "n_links")
+    placed = placed.join(least, "root").select("digest", "class_id")
     rows = sketched.select("doc_id", "digest").join(placed, "digest")
     sizes = rows.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    out = rows.join(sizes, "class_id").select("doc_id", "class_id", "class_size", "n_links", (F.col("doc_id") == F.col("class_id")).alias("kept"))
-    rest = nameless.select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
+    out = rows.join(sizes, "class_id").select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    rest = nameless.select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
     return out.unionByName(rest)
 
 

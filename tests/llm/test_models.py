@@ -182,6 +182,35 @@ def test_near_classes_against_all_pairs(spark):
     assert out.columns == d.columns and out.filter("doc_id = 2000").count() == 0 and out.filter("doc_id IS NULL").count() == 1
 
 
+def test_near_links_between_texts_that_lead_no_bucket(spark):
+    """All texts share a passage of just less than the threshold; two and two share three more words, so their only
+    common buckets are large and most lead none of them."""
+    rnd = random.Random(5)
+    text = lambda n: ["".join(rnd.choices("abcdefghijklmnop", k=7)) for _ in range(n)]
+    passage = text(178)
+    rows = []
+    for g in range(60):
+        both = text(3)
+        rows += [(10 * g + k, " ".join(passage + both + text(19))) for k in range(2)]
+    want = {(10 * g, 10 * g + 1) for g in range(60)}
+    assert brute_links(rows) == want
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near.near_classes(d).collect()}
+    assert got == {i: i // 10 * 10 for i, _ in rows}
+    # Small blocks find the same pairs as one.
+    first = near.sketches_of(d).withColumn("id", F.col("doc_id")).withColumn("root", F.col("doc_id"))
+    one, many = ({tuple(r) for r in near.rest_pairs(first, block=b).collect()} for b in (1000, 7))
+    assert one == many and one >= want
+
+
+def test_profiles_bound_common_kmers():
+    a = near.labelled_kmers(np.arange(500, dtype=np.uint32))
+    b = near.labelled_kmers(np.arange(250, 750, dtype=np.uint32))
+    least = np.minimum(*(np.frombuffer(near.profile(x), np.uint8).astype(int) for x in (a, b)))
+    assert least.sum() >= len(np.intersect1d(a, b))
+    assert near.profile(near.labelled_kmers(np.arange(60_000, dtype=np.uint32))) == b""
+
+
 def test_alignment_is_sensitive_to_order():
     rnd = random.Random(3)
     w = np.array([rnd.getrandbits(32) for _ in range(400)], np.uint32)
