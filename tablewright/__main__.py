@@ -36,6 +36,8 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--shards", default="")
     p.add_argument("--first-year", type=int)
     p.add_argument("--last-year", type=int)
+    p.add_argument("--max-depth", type=int, help="links from a seed that a census follows; all without it")
+    p.add_argument("--max-pages", type=int, help="pages that a census asks for; all without it")
     p.add_argument("--run-id", default="")
     return p.parse_args(given)
 
@@ -71,7 +73,7 @@ def main(given: list[str] | None = None) -> None:
         x = catalog.check_request(a.source, a.dataset, a.first_year or catalog.dataset(a.source, a.dataset)["first_year"], a.last_year or catalog.dataset(a.source, a.dataset)["last_year"])
         own = ranges.filter((F.col("source") == a.source) & (F.col("dataset") == a.dataset))
         static = spark.createDataFrame([(u,) for u in x.get("census_seeds") or []], "url string")
-        c = C.run_census(a.source, a.dataset, J.all_seeds(static, J.range_seeds(own, a.first_year, a.last_year)), fetch, spec["domains"], x["allowed_prefixes"], shards=int(a.shards or 1))
+        c = C.run_census(a.source, a.dataset, J.all_seeds(static, J.range_seeds(own, a.first_year, a.last_year)), fetch, spec["domains"], x["allowed_prefixes"], shards=int(a.shards or 1), max_depth=a.max_depth, max_pages=a.max_pages)
         for name in ("ledger", "work", "surfaces"):
             getattr(c, name).write.parquet(f"{a.out}/{name}")
         r = C.census_report(c)

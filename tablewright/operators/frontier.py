@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -38,12 +39,14 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return maps.unionByName(anchors).distinct()
 
 
-def bounded_bfs(seeds: DataFrame, edges: DataFrame, max_depth: int, allowed: Callable[[Column], Column] | None = None, keep: Callable[[DataFrame], DataFrame] = table_keep) -> DataFrame:
+def bounded_bfs(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None, allowed: Callable[[Column], Column] | None = None, keep: Callable[[DataFrame], DataFrame] = table_keep) -> DataFrame:
     """seeds: url; edges: src, dst -> url, depth of the first visit. Seeds pass the allow-list, links must meet it.
-    One join per round; what was seen is anti-joined, so cycles end."""
+    One join per round; what was seen is anti-joined, so cycles end. Without max_depth it runs until nothing new is met."""
     seen = keep(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
     front = seen
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
+        if max_depth is not None and depth > max_depth:
+            break
         step = front.join(edges, front["url"] == edges["src"]).select(F.col("dst").alias("url")).distinct()
         if allowed is not None:
             step = step.filter(allowed(F.col("url")))
@@ -54,7 +57,7 @@ def bounded_bfs(seeds: DataFrame, edges: DataFrame, max_depth: int, allowed: Cal
     return seen
 
 
-def crawl_landed(seed: str, pages: DataFrame, domains: list[str], prefixes: list[str], max_depth: int = 50) -> DataFrame:
+def crawl_landed(seed: str, pages: DataFrame, domains: list[str], prefixes: list[str], max_depth: int | None = None) -> DataFrame:
     """A crawl in a table of pages: url, status ok or missing_fixture, in the order of url."""
     spark = pages.sparkSession
     start = spark.sql("SELECT :s AS url", args={"s": seed})
@@ -97,13 +100,14 @@ def run_census(
     prefixes: list[str],
     robots: DataFrame | None = None,
     shards: int = 1,
-    max_depth: int = 3,
-    max_pages: int = 10_000,
+    max_depth: int | None = None,
+    max_pages: int | None = None,
     keep: Callable[[DataFrame], DataFrame] = table_keep,
 ) -> Census:
     """One frontier for all shards. owner is a column: one seed is shared and each of its links has the shard of
     its own hash; several seeds have the shard of theirs, and what they lead to inherits it. A URL is fetched once,
-    whatever branches reach it. Seeds pass the allow-list but not robots. Pages that are work items are leaves."""
+    whatever branches reach it. Seeds pass the allow-list but not robots. Pages that are work items are leaves.
+    Only a caller's max_depth or max_pages ends it before the frontier is empty."""
     adapter = get_adapter(source)
     start = seeds.select("url").distinct()
     single = start.limit(2).count() == 1
@@ -111,8 +115,8 @@ def run_census(
     front = keep(start.withColumn("owner", owner))
     seen, ledgers, pages = front, [], []
     room = max_pages
-    for depth in range(max_depth + 1):
-        asked = front.orderBy("url").limit(room)
+    for depth in itertools.count():
+        asked = front if room is None else front.orderBy("url").limit(room)
         if robots is not None:
             asked = asked.withColumn("host", U.url_host(F.col("url"))).join(robots, "host", "left")
             asked = asked.withColumn("may", can_fetch(F.coalesce("rules", F.lit("")), F.col("url"))).drop("host", "rules")
@@ -124,8 +128,9 @@ def run_census(
         ledgers.append(denied.unionByName(got.select("url", "owner", "status", "status_code", "error", "depth")))
         ok = got.filter(F.col("status") == "ok")
         pages.append(ok.select("url", "owner", F.col("body").alias("html"), "depth"))
-        room -= asked.count()
-        if room <= 0 or depth == max_depth:
+        if room is not None:
+            room -= asked.count()
+        if room is not None and room <= 0 or depth == max_depth:
             break
         inner = ok.filter(work_item(source, F.lit(dataset), F.col("url")).isNull())
         links = page_edges(inner, "url", "body").join(inner.select(F.col("url").alias("src"), "owner"), "src")

@@ -2,6 +2,7 @@
 
 import email.message
 import gzip
+import inspect
 import json
 import random
 import urllib.error
@@ -79,6 +80,22 @@ def test_census_asks_robots_and_keeps_the_seed_outside_the_list(spark):
     assert status["/football/y2"] == "robots_denied" and status["/football/"] == "ok" and "/football/roster/t-C/y-1922" not in status
 
 
+def test_census_has_no_bounds_of_its_own(spark):
+    chain = [(f"{ROOT}/football/y{i}", a(f"/football/y{i + 1}")) for i in range(5)] + [(f"{ROOT}/football/y5", a("/football/roster/t-A/y-1921"))]
+    pages = spark.createDataFrame([*chain, (f"{ROOT}/football/roster/t-A/y-1921", "<p>")], "url string, html string")
+    census = lambda s: C.run_census("statscrew", "team_season_roster", s, V.page_table_fetch(pages), ["www.statscrew.com"], ["/football/"])
+    c = census(seeds(spark, ROOT + "/football/y0"))
+    assert c.ledger.count() == 7 and [w["key"] for w in c.work.collect()] == ["1921|A"]
+    many = spark.range(10_001).select(F.concat(F.lit(ROOT + "/football/z"), "id").alias("url"))
+    assert census(many).ledger.count() == 10_001
+
+
+def test_crawl_has_no_depth_of_its_own(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(6)], "src string, dst string")
+    assert C.bounded_bfs(seeds(spark, "n0"), edges).agg(F.max("depth")).first()[0] == 6
+    assert inspect.signature(C.crawl_landed).parameters["max_depth"].default is None
+
+
 def test_robots_rules(spark):
     d = spark.createDataFrame([("a", 200, "User-agent: *\nDisallow: /private"), ("b", 403, None), ("c", 500, None), ("d", None, None)], "host string, status_code int, body string")
     j = R.robots_rules(d).withColumn("url", F.explode(F.array(F.lit("https://h/private/x"), F.lit("https://h/open"))))
