@@ -7,21 +7,22 @@ if they share those k-mers in that order, so it answers to edit similarity, not
 three picks, two texts of similarity 0.8 share one sketch in about two, and all of 20 miss with a
 chance of one in a million.
 
-Texts of equal words are one node from the start. Nodes that share a sketch meet in a bucket. In
-a bucket of up to `small` nodes all pairs are candidates. A larger one is split by the next sketch, and
-again by the one after that; at each of these levels all its nodes are also paired with its leaders: the
-least id, the least hash of ids, and the `centres` nodes that meet the most others in all their large
-buckets. These links give provisional
-classes: real groups are tied together by their centre (the texts nearest to what the others were copied
-from share the most sketches), by the leaders of about sixty buckets for each text, and by small buckets.
-
-Then the rest: in each bucket of more than `small` nodes and more than one provisional class, all pairs of
-nodes of different classes are compared, in salted blocks. A text's profile counts its k-mers in BINS bins of
-their hash; the sum of the lesser counts of two profiles is at least their common k-mers, so a pair whose
-bound is below the threshold can't be a link. The others are candidates. So of any two nodes that share a
-sketch, either the pair was decided or they are in one class already, and the classes are those that
-all pairs with a common sketch would give. This compares as many pairs as the square of a bucket of many
-classes, but makes rows only of those that may be links.
+Texts of equal words are one node from the start. Nodes that share a sketch meet in a bucket.
+
+Stars: of each bucket the node that meets the most others, in all its buckets, leads; it and each other
+node are a candidate. So there are no more candidates than nodes times sketches. Their links give provisional
+classes, as the centre of a group (the text nearest to what the others were copied from) shares the most sketches.
+
+The rest: a bucket whose other nodes are of more than one provisional class has pairs that no star decided.
+Its nodes are open, and all pairs of open nodes of different classes are decided by a prefix filter: the k-mers
+of open nodes are put in one order, those that nodes of one class alone hold first, then by the number of
+their holders; two texts of n k-mers that reach the threshold share one of their first n - 0.8 n + 1.
+So nodes meet at their rare k-mers only, and a passage that very many texts hold brings none together. At
+each of these k-mers the nodes of different classes are compared, in blocks of a bounded number of rows, by
+their sizes and profiles: a profile counts the k-mers in BINS bins of their hash, and the sum of the lesser
+counts of two profiles is at least their common k-mers. What the bounds leave open is verified. So of any two
+nodes that share a sketch, either the pair was decided or they are in one class: the classes are those that all
+pairs with a common sketch would give.
 
 Candidates are verified by banded alignment: with labelled k-mers the best alignment is the
 longest increasing run of common positions, and only positions that lie within the band which the
@@ -29,16 +30,17 @@ threshold leaves open may match. Similarity is common / (all - common), the Jacc
 k-mers that agree in order; from 0.8 on it is a link. Classes are the connected components of
 links, found by contracting every node to its neighbour of least hash, round by round.
 
-Defined results: class_id is the least doc_id of the class, and
-the row with doc_id = class_id is kept. Null text is empty; texts without words are one class. Rows
-with null doc_id are not compared: class_id null, kept. A doc_id that repeats with different texts ties
-them together; repeated rows share their verdict. An empty table gives no rows; other columns are ignored.
+Defined results: class_id is the least doc_id of the class (null if it has none), and the row with that
+doc_id is kept; of several with it, those of one text. Null text is empty; texts without words are one class.
+A null doc_id is compared like any other and comes last. Rows of one doc_id with different texts are separate;
+repeated rows share their verdict. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 from bisect import bisect_left
 
 import numpy as np
@@ -46,19 +48,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import map_arrow, text_or_empty, written
+from tablewright.llm.shared import text_or_empty, written
 
 K = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 PICKS = 3
-SMALL = 8
-LEVELS = 3
-CENTRES = 6
 WORD_LIMIT = 100_000
-#: Bins of a profile, and nodes of a bucket that are compared at a time.
+#: Bins of a profile, and rows of one side of a block that are compared at a time.
 BINS = 128
-BLOCK = 2048
+BLOCK = 1024
 #: k-mers times sketches that are held at a time.
 CELLS = 2_000_000
 
@@ -158,70 +157,109 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> flo
     return s if s >= similarity - 1e-9 else 0.0
 
 
+def prefix_length(n: int, similarity: float = SIMILARITY) -> int:
+    """So many k-mers, in any order of all k-mers, that texts which reach the threshold share one of them."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
 def sketches_of(docs: DataFrame, sketches: int = SKETCHES, picks: int = PICKS) -> DataFrame:
-    """docs: doc_id, text -> doc_id, digest (of the words), keys (none for a text without words), n_kmers, profile."""
+    """docs: doc_id, raw, text -> doc_id, raw, digest (of the words), keys (none for a text without words)."""
 
     def work(batches):
         import pyarrow as pa
 
         words = Words()
         for batch in batches:
-            digests, keys, sizes, profiles = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                w, digest = words.of(text)
+            digests, keys = [], []
+            for text in batch.column(2):
+                w, digest = words.of(text.as_py())
                 digests.append(digest)
-                x = labelled_kmers(w)
-                keys.append(sketch_keys(x, sketches, picks) if len(w) else np.zeros(0, np.int64))
-                sizes.append(len(x))
-                profiles.append(profile(x))
+                keys.append(sketch_keys(labelled_kmers(w), sketches, picks) if len(w) else np.zeros(0, np.int64))
             ends = np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)
             flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(sizes, pa.int64()), pa.array(profiles, pa.binary())], ["doc_id", "digest", "keys", "n_kmers", "profile"])
-
-    return map_arrow(docs, work, "doc_id long, digest binary, keys array<long>, n_kmers long, profile binary")
-
-
-def candidate_pairs(nodes: DataFrame, small: int = SMALL, levels: int = LEVELS, centres: int = CENTRES) -> DataFrame:
-    """nodes: id, keys -> a, b with a < b, each pair once."""
-    n = F.size("keys")
-    keys = F.col("keys")
-    # The bucket of each level: the sketch, with the next one, with the next two, ...
-    def bucket(u: int):
-        return F.transform("keys", lambda x, j: F.xxhash64(j, x, *[keys[(j + i) % n] for i in range(1, u + 1)]))
-
-    split = [bucket(u) for u in range(levels)]
-    names = [f"b{u}" for u in range(levels)]
-    rows = nodes.filter(n > 0).select("id", *[s.alias(c) for s, c in zip(split, names, strict=True)])
-    rows = rows.select("id", F.explode(F.arrays_zip(*names)).alias("b")).select("id", *[f"b.{c}" for c in names])
-    found = []
-    for u in range(levels):
-        bucket = f"b{u}"
-        sizes = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        met = written(rows.join(sizes, bucket), f"buckets-{u}")
-        few = met.filter(F.col("n") <= small).groupBy(bucket).agg(F.collect_list("id").alias("ids"))
-        pairs = F.flatten(F.transform("ids", lambda x: F.transform(F.filter("ids", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-        found.append(few.select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
-        many = met.filter(F.col("n") > small)
-        # How many rows a node meets in all its large buckets; low bits of a hash tell equals apart.
-        central = many.groupBy("id").agg((F.shiftleft(F.sum("n"), 16) + F.expr("xxhash64(id) & 65535")).alias("met"))
-        leads = many.groupBy(bucket).agg(F.min("id").alias("least"), F.min_by("id", F.xxhash64("id")).alias("random"))
-        leads = leads.select(bucket, F.explode(F.array("least", "random")).alias("lead"))
-        # The first rows of each bucket are found by every task for itself, so a large one is never sorted in one place.
-        order = W.partitionBy(bucket).orderBy(F.desc("met"), "id")
-        middle = many.join(central, "id").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= centres)
-        leads = leads.unionByName(middle.select(bucket, F.col("id").alias("lead"))).distinct()
-        tied = many.select("id", bucket).join(leads, bucket).filter("id <> lead")
-        found.append(tied.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")))
-        rows = many.select("id", *names[u + 1 :])
-    pairs = found[0]
-    for f in found[1:]:
-        pairs = pairs.unionByName(f)
+            columns = [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "raw", "digest", "keys"])
+
+    return docs.select("doc_id", "raw", "text").mapInArrow(work, "doc_id long, raw long, digest binary, keys array<long>")
+
+
+def bucket_rows(nodes: DataFrame) -> DataFrame:
+    """nodes: id, keys -> key, id, n: the rows of the sketches that more than one node has."""
+    rows = nodes.select("id", F.explode("keys").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return rows.join(sizes, "key")
+
+
+def with_leaders(buckets: DataFrame) -> DataFrame:
+    """buckets with the column lead: the node of the bucket that meets the most rows in all its buckets."""
+    weight = buckets.groupBy("id").agg(F.sum("n").alias("met"))
+    leads = buckets.join(weight, "id").groupBy("key").agg(F.max_by("id", F.struct("met", "id")).alias("lead"))
+    return buckets.join(leads, "key")
+
+
+def star_pairs(led: DataFrame) -> DataFrame:
+    """a, b with a < b: each leader with each other node of its bucket, each pair once."""
+    pairs = led.filter("id <> lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
     return pairs.distinct()
 
 
-def rest_pairs(nodes: DataFrame, small: int = SMALL, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """nodes: id, keys, n_kmers, profile, root -> a, b: the pairs of nodes of different roots in large buckets whose
-    profiles leave a link possible, each once."""
+def open_nodes(led: DataFrame, roots: DataFrame) -> DataFrame:
+    """id, root: the nodes of buckets whose nodes besides the leader are of more than one class."""
+    others = led.filter("id <> lead").join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    several = others.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("greatest")).filter("least <> greatest")
+    return others.join(several.select("key"), "key", "left_semi").select("id", "root").distinct()
+
+
+def words_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """docs: doc_id, raw, text; nodes: id, doc_id, raw -> id, words: 32-bit hashes of the text's words, each node once."""
+
+    def work(batches):
+        import pyarrow as pa
+
+        words = Words()
+        for batch in batches:
+            out = [words.of(t.as_py())[0].astype("<u4").tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "words"])
+
+    of = nodes.select("id", F.col("doc_id").alias("of_id"), F.col("raw").alias("of_raw")).hint("shuffle_hash")
+    texts = docs.join(of, docs["doc_id"].eqNullSafe(of["of_id"]) & (docs["raw"] == of["of_raw"]))
+    return texts.select("id", "text").mapInArrow(work, "id long, words binary").dropDuplicates(["id"])
+
+
+def kmers_of(words: DataFrame) -> DataFrame:
+    """id, root, words -> id, root, n_kmers, profile, kmers."""
+
+    def work(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [labelled_kmers(np.frombuffer(raw.as_py(), "<u4")) for raw in batch.column(2)]
+            sizes = [len(x) for x in found]
+            ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+            flat = pa.array((np.concatenate(found) if found else np.zeros(0, np.uint64)).view(np.int64))
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(map(profile, found), pa.binary()), pa.ListArray.from_arrays(pa.array(ends), flat)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "root", "n_kmers", "profile", "kmers"])
+
+    return words.select("id", "root", "words").mapInArrow(work, "id long, root long, n_kmers long, profile binary, kmers array<long>")
+
+
+def prefix_rows(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """nodes: id, root, n_kmers, kmers -> kmer, id: of each node, those of its first k-mers that nodes of several classes hold.
+    Where they stand in the order: after all k-mers of one class, which need no rows to be counted."""
+    rows = nodes.select("id", "root", "n_kmers", F.explode("kmers").alias("kmer"))
+    held = rows.groupBy("kmer").agg(F.count(F.lit(1)).alias("holders"), F.min("root").alias("least"), F.max("root").alias("greatest"))
+    rows = rows.join(held.filter("least <> greatest").select("kmer", "holders"), "kmer")
+    by = W.partitionBy("id")
+    before = F.col("n_kmers") - F.count(F.lit(1)).over(by)
+    place = before + F.row_number().over(by.orderBy("holders", "kmer"))
+    # prefix_length(n_kmers)
+    length = F.col("n_kmers") - F.ceil(F.lit(similarity) * F.col("n_kmers") - 1e-9) + 1
+    return rows.withColumn("place", place).filter(F.col("place") <= length).select("kmer", "id")
+
+
+def rest_pairs(nodes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """nodes: id, root, n_kmers, profile, kmers -> a, b: the pairs of nodes of different roots that share a k-mer of
+    their prefixes and whose sizes and profiles leave a link possible, each once."""
 
     def links_of(i, root, side, n, raw):
         # The rows of one block, by size, so that the nodes whose size may fit stand in a row.
@@ -251,76 +289,62 @@ def rest_pairs(nodes: DataFrame, small: int = SMALL, similarity: float = SIMILAR
                 kept = table if kept is None else pa.concat_tables([kept, table])
             if kept is None or not kept.num_rows:
                 continue
-            names = ("bucket", "i", "j", "id", "root", "side", "n_kmers")
-            bucket, i, j, node, root, side, n = (kept.column(c).to_numpy() for c in names)
-            starts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
-            ends = np.r_[starts[1:], len(bucket)]
+            names = ("kmer", "i", "j", "id", "root", "side", "n_kmers")
+            kmer, i, j, node, root, side, n = (kept.column(c).to_numpy() for c in names)
+            starts = np.flatnonzero(np.r_[True, (kmer[1:] != kmer[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+            ends = np.r_[starts[1:], len(kmer)]
             done = len(starts) if batch is None else len(starts) - 1
             if not done:
                 continue
             raw = kept.column("profile").to_pylist()
+            found = []
             for u, v in zip(starts[:done].tolist(), ends[:done].tolist(), strict=True):
                 if v - u > 1:
-                    found = list(links_of(node[u:v], root[u:v], side[u:v], n[u:v], raw[u:v]))
-                    if found:
-                        a, b = np.concatenate(found, axis=1)
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                    found.extend(links_of(node[u:v], root[u:v], side[u:v], n[u:v], raw[u:v]))
+            if found:
+                a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
             kept = kept.slice(ends[done - 1])
 
-    rows = nodes.filter(F.size("keys") > 0).select("id", "root", F.posexplode("keys").alias("at", "key"))
-    rows = rows.select("id", "root", F.xxhash64("at", "key").alias("bucket"))
-    # Least and greatest root tell one class from several.
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("greatest"))
-    sizes = sizes.filter((F.col("n") > small) & (F.col("least") != F.col("greatest")))
-    blocks = F.ceil(F.col("n") / block)
-    many = rows.join(sizes.select("bucket", blocks.alias("blocks")), "bucket").withColumn("side", F.pmod(F.xxhash64("id"), "blocks"))
+    rows = prefix_rows(nodes, similarity).join(nodes.select("id", "root", "n_kmers", "profile"), "id")
+    held = rows.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("greatest"))
+    held = held.filter("least <> greatest").select("kmer", F.ceil(F.col("n") / block).alias("blocks"))
+    many = rows.join(held, "kmer").withColumn("side", F.pmod(F.xxhash64("id"), "blocks"))
     many = many.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    many = many.select("id", "root", "bucket", "side", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"))
-    many = many.join(nodes.select("id", "n_kmers", "profile"), "id")
-    many = many.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "n_kmers")
-    return map_arrow(many, compare, "a long, b long").distinct()
-
+    many = many.select("kmer", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"), "id", "root", "side", "n_kmers", "profile")
+    many = many.repartition("kmer", "i", "j").sortWithinPartitions("kmer", "i", "j", "n_kmers")
+    return many.mapInArrow(compare, "a long, b long").distinct()
 
-def verified_links(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """docs: doc_id, text; pairs: a, b -> a, b, similarity of the pairs that pass."""
 
-    def to_words(batches):
-        import pyarrow as pa
-
-        words = Words()
-        for batch in batches:
-            out = [words.of(t)[0].astype("<u4").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "words"])
+def verified_links(pairs: DataFrame, words: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """pairs: a, b; words: id, words -> a, b, similarity of the pairs that pass."""
 
     def verify(batches):
         import pyarrow as pa
 
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            known: dict[bytes, np.ndarray] = {}
+            known: dict[int, np.ndarray] = {}
 
-            def kmers(raw: bytes, known=known) -> np.ndarray:
-                x = known.get(raw)
+            def kmers(i: int, raw, known=known) -> np.ndarray:
+                x = known.get(i)
                 if x is None:
                     if len(known) >= 64:
                         known.clear()
-                    x = known[raw] = labelled_kmers(np.frombuffer(raw, "<u4"))
+                    x = known[i] = labelled_kmers(np.frombuffer(raw.as_py(), "<u4"))
                 return x
 
             out = ([], [], [])
             for i, (u, v) in enumerate(zip(a, b, strict=True)):
-                s = aligned(kmers(batch.column(2)[i].as_py()), kmers(batch.column(3)[i].as_py()), similarity)
+                s = aligned(kmers(u, batch.column(2)[i]), kmers(v, batch.column(3)[i]), similarity)
                 if s:
                     for c, x in zip(out, (u, v, s), strict=True):
                         c.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["a", "b", "similarity"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text")
-    words = written(map_arrow(texts, to_words, "id long, words binary"), "candidate-words").dropDuplicates(["id"])
     j = pairs.join(words.select(F.col("id").alias("b"), F.col("words").alias("words_b")), "b")
     j = j.join(words.select(F.col("id").alias("a"), F.col("words").alias("words_a")), "a")
-    return map_arrow(j.select("a", "b", "words_a", "words_b"), verify, "a long, b long, similarity double")
+    return j.select("a", "b", "words_a", "words_b").mapInArrow(verify, "a long, b long, similarity double")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -344,37 +368,43 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def near_rows(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, raw (a hash of its text), class_id, class_size (rows), kept."""
+    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).withColumn("raw", F.xxhash64("text"))
+    # Each row gets a number of its own, which the written table keeps; the least of a text's rows is the node.
+    sketched = written(sketches_of(d).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    nodes = sketched.groupBy("digest").agg(F.min("row").alias("id"))
+    own = sketched.join(nodes.select("id"), F.col("row") == F.col("id"), "left_semi").withColumnRenamed("row", "id")
+    led = written(with_leaders(bucket_rows(own)), "buckets")
+    met = led.select("id").distinct()
+    words = written(words_of(d, own.join(met, "id", "left_semi").select("id", "doc_id", "raw")), "words")
+    pairs = written(star_pairs(led), "pairs")
+    roots = components(verified_links(pairs, words, similarity))
+    opened = open_nodes(led, roots).join(words, "id")
+    opened = written(kmers_of(opened), "open")
+    rest = written(rest_pairs(opened, similarity).join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
+    more = verified_links(rest, words, similarity).select("a", "b")
+    of = opened.select("id", "root")
+    more = more.join(of.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(of.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
+    last = components(more.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    # Classes of one node are no root of a link, but may be of the rest.
+    roots = roots.join(last.select(F.col("id").alias("root"), F.col("root").alias("whole")), "root", "full")
+    roots = roots.select(F.coalesce("id", "root").alias("id"), F.coalesce("whole", "root").alias("root"))
+    nodes = nodes.join(roots, "id", "left").select(F.col("digest"), F.coalesce("root", "id").alias("root"))
+    rows = written(sketched.select("doc_id", "raw", "digest").join(nodes, "digest").select("doc_id", "raw", "root"), "placed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "raw"))
+    classes = rows.groupBy("root").agg(first.alias("first"), F.count(F.lit(1)).alias("class_size"))
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("raw") == F.col("first.raw"))
+    return rows.join(classes, "root").select("doc_id", "raw", F.col("first.doc_id").alias("class_id"), "class_size", kept.alias("kept"))
+
+
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, class_size (rows), kept."""
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    nameless = d.filter(F.col("doc_id").isNull())
-    d = d.filter(F.col("doc_id").isNotNull())
-    sketched = written(sketches_of(d), "sketches")
-    nodes = sketched.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    # The keys of each node's own row; rows of other ids with the same words have the same keys.
-    own = sketched.join(nodes.select(F.col("digest").alias("of"), "id"), (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("id")))
-    pairs = written(candidate_pairs(own.select("id", "keys")), "pairs")
-    links = written(verified_links(d, pairs, similarity), "links")
-    roots = components(links)
-    first = own.select("id", "keys", "n_kmers", "profile").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    first = written(first, "provisional")
-    rest = written(rest_pairs(first, SMALL, similarity).join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
-    more = verified_links(d, rest, similarity).select("a", "b")
-    of = first.select("id", "root")
-    more = more.join(of.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(of.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b")
-    last = components(more.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("id").alias("root"), F.col("root").alias("whole"))
-    of = of.join(last, "root", "left").select("id", F.coalesce("whole", "root").alias("root"))
-    placed = written(nodes.join(of, "id").select("digest", "root", "id"), "placed")
-    least = placed.groupBy("root").agg(F.min("id").alias("class_id"))
-    placed = placed.join(least, "root").select("digest", "class_id")
-    rows = sketched.select("doc_id", "digest").join(placed, "digest")
-    sizes = rows.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    out = rows.join(sizes, "class_id").select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
-    rest = nameless.select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
-    return out.unionByName(rest)
+    return near_rows(docs, similarity, doc_id, text).drop("raw")
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, one of each class, with their own columns."""
-    gone = near_classes(docs, similarity, doc_id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs[doc_id] == gone["gone_id"], "left_anti")
+    gone = near_rows(docs, similarity, doc_id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("raw").alias("gone_raw"))
+    same = docs[doc_id].cast("long").eqNullSafe(gone["gone_id"]) & (F.xxhash64(text_or_empty(docs[text])) == gone["gone_raw"])
+    return docs.join(gone.distinct().hint("shuffle_hash"), same, "left_anti")

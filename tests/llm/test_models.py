@@ -148,38 +148,61 @@ def corpus():
     long = text(30_000)
     rows += [(5000, " ".join(long)), (5001, "\n".join(edited(long, 0.005).split())), (5002, " ".join(text(15_000) + long[:15_000]))]
     rows += [(6000, "spam " * 500), (6001, "spam " * 480), (6002, "spam " * 300), (6003, "a b"), (6004, "a  b\n"), (6005, None), (6006, ""), (6006, ""), (None, "spam " * 500), (6007, "x y z w v"), (6008, "x y z w")]
+    # One doc_id with two texts, and a near copy of the second.
+    other = text(90)
+    rows += [(7000, " ".join(text(80))), (7000, " ".join(other)), (7001, " ".join(other[:-1]))]
     return rows
 
 
-def brute_links(rows):
+def brute_classes(rows):
+    """Class of each row, by all pairs of rows."""
     words = near.Words()
-    x = {i: near.labelled_kmers(words.of(t or "")[0]) for i, t in rows if i is not None}
-    return {(a, b) for a, b in itertools.combinations(sorted(x), 2) if near.aligned(x[a], x[b])}
-
-
-def test_near_classes_against_all_pairs(spark):
-    rows = corpus()
-    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"keys": F.lit(1), "digest": F.lit("clash"), "id": F.lit(2)})
-    got = near.near_classes(d.repartition(3)).collect()
-    assert len(got) == len(rows)
-    parent = {i: i for i, _ in rows if i is not None}
+    x = [near.labelled_kmers(words.of(t or "")[0]) for _, t in rows]
+    parent = list(range(len(rows)))
 
     def root(a):
         while parent[a] != a:
             a = parent[a]
         return a
 
-    for a, b in brute_links(rows):
-        ra, rb = root(a), root(b)
-        parent[max(ra, rb)] = min(ra, rb)
-    have = {r["doc_id"]: r["class_id"] for r in got if r["doc_id"] is not None}
-    assert have == {i: root(i) for i in parent}
-    assert len({have[3000 + i] for i in range(60)}) == 60
-    assert have[5001] == 5000 and have[5002] == 5002
-    none = [r for r in got if r["doc_id"] is None]
-    assert len(none) == 1 and none[0]["class_id"] is None and none[0]["kept"]
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if root(a) != root(b) and near.aligned(x[a], x[b]):
+            parent[root(a)] = root(b)
+    classes = {}
+    for k, (i, _) in enumerate(rows):
+        classes.setdefault(root(k), []).append(i)
+    least = {r: min((i for i in ids if i is not None), default=None) for r, ids in classes.items()}
+    return [least[root(k)] for k in range(len(rows))]
+
+
+def test_near_classes_against_all_pairs(spark):
+    rows = corpus()
+    want = brute_classes(rows)
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"keys": F.lit(1), "digest": F.lit("clash"), "id": F.lit(2), "raw": F.lit(0), "gone_id": F.lit(3)})
+    got = near.near_rows(d.repartition(3)).join(spark.createDataFrame([(i, t or "") for i, t in rows], "i long, t string").distinct(), F.expr("raw = xxhash64(t) and doc_id <=> i")).collect()
+    assert len(got) == len(rows)
+    expected = {(i, t or ""): c for (i, t), c in zip(rows, want, strict=True)}
+    have = {(r["i"], r["t"]): r["class_id"] for r in got}
+    assert have == expected
+    assert len({c for (i, _), c in have.items() if i and 3000 <= i < 3060}) == 60
+    sizes = {c: want.count(c) for c in want}
+    assert all(r["class_size"] == sizes[r["class_id"]] for r in got if r["class_id"] != 7000)
+    # One text of each class stays: of its least doc_id.
+    assert {(r["doc_id"], r["kept"]) for r in got if r["doc_id"] in (6000, 6001, None, 7001)} == {(6000, True), (6001, False), (None, False), (7001, False)}
+    # Both texts of 7000 are the first of a class.
+    assert len({r["class_id"] for r in got if r["kept"]}) == len(set(want)) and {r["class_size"] for r in got if r["i"] == 7000} == {1, 2}
     out = near.drop_near_copies(d)
-    assert out.columns == d.columns and out.filter("doc_id = 2000").count() == 0 and out.filter("doc_id IS NULL").count() == 1
+    assert out.columns == d.columns
+    kept = sorted((r["doc_id"], r["text"] or "") for r in out.collect())
+    assert kept == sorted((r["i"], r["t"]) for r in got if r["kept"])
+    assert [i for i, _ in kept].count(7000) == 2 and [i for i, _ in kept].count(6006) == 0
+
+
+def test_null_ids_only(spark):
+    d = spark.createDataFrame([(None, "one two three"), (None, "one two  three"), (None, "four five")], "doc_id long, text string")
+    got = near.near_classes(d).collect()
+    assert [r["class_id"] for r in got] == [None] * 3 and sorted(r["class_size"] for r in got) == [1, 2, 2]
+    assert near.drop_near_copies(d).count() == 2
 
 
 def test_near_links_between_texts_that_lead_no_bucket(spark):
@@ -193,16 +216,57 @@ def test_near_links_between_texts_that_lead_no_bucket(spark):
         both = text(3)
         rows += [(10 * g + k, " ".join(passage + both + text(19))) for k in range(2)]
     want = {(10 * g, 10 * g + 1) for g in range(60)}
-    assert brute_links(rows) == want
-    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert brute_classes(rows) == [i // 10 * 10 for i, _ in rows]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("raw", F.xxhash64("text"))
     got = {r["doc_id"]: r["class_id"] for r in near.near_classes(d).collect()}
     assert got == {i: i // 10 * 10 for i, _ in rows}
     # Small blocks find the same pairs as one.
-    first = near.sketches_of(d).withColumn("id", F.col("doc_id")).withColumn("root", F.col("doc_id"))
-    one, many = ({tuple(r) for r in near.rest_pairs(first, block=b).collect()} for b in (1000, 7))
+    words = near.words_of(d, d.select(F.col("doc_id").alias("id"), "doc_id", "raw"))
+    nodes = near.kmers_of(words.withColumn("root", F.col("id")))
+    one, many = ({tuple(r) for r in near.rest_pairs(nodes, block=b).collect()} for b in (1000, 7))
     assert one == many and one >= want
 
 
+def test_thousands_of_near_copies(spark):
+    """3,000 copies of one text, which is not there itself, with one to three edits each: many are below the threshold to
+    most others, so classes depend on single links. All pairs by a product of incidence matrices."""
+    rnd = random.Random(12)
+    base = ["".join(rnd.choices("abcdefghijklmnop", k=6)) for _ in range(80)]
+    rows = []
+    for i in range(3000):
+        w = list(base)
+        for at in rnd.choices(range(80), k=rnd.randint(1, 3)):
+            w[at] = f"{rnd.choice('xyz')}{rnd.randint(0, 3)}"
+        rows.append((i, " ".join(w)))
+    words = near.Words()
+    x = [near.labelled_kmers(words.of(t)[0]) for _, t in rows]
+    _, at = np.unique(np.concatenate(x), return_inverse=True)
+    held = np.zeros((len(rows), at.max() + 1), np.float32)
+    held[np.repeat(np.arange(len(rows)), [len(k) for k in x]), at] = 1
+    common, size = held @ held.T, held.sum(1)
+    linked = common >= 0.8 * (size[:, None] + size[None, :] - common) - 1e-6
+    want = np.arange(len(rows))
+    while True:
+        least = np.where(linked, want[None, :], len(rows)).min(1)
+        if (least == want).all():
+            break
+        want = least
+    got = {r["doc_id"]: r["class_id"] for r in near.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert len(set(want.tolist())) > 20
+    assert [got[i] for i in range(len(rows))] == want.tolist()
+
+
+def test_prefixes_of_linked_texts_meet():
+    rnd = random.Random(8)
+    for _ in range(300):
+        n = rnd.randint(1, 40)
+        a = rnd.sample(range(60), n)
+        b = set(a) - set(rnd.sample(a, rnd.randint(0, n // 4))) | set(rnd.sample(range(60), rnd.randint(0, n // 4)))
+        if b and len(set(a) & b) >= near.SIMILARITY * len(set(a) | b):
+            first = lambda s: set(sorted(s)[: near.prefix_length(len(s))])
+            assert first(set(a)) & first(b)
+
+
 def test_profiles_bound_common_kmers():
     a = near.labelled_kmers(np.arange(500, dtype=np.uint32))
     b = near.labelled_kmers(np.arange(250, 750, dtype=np.uint32))
