@@ -8,7 +8,8 @@ soon have the same cuts again, and share the chunks between.
 A chunk's identifier is its SHA-256; length and a second, independent hash verify it: the
 dictionary of identifiers is checked for two contents under one identifier before recipes are
 compared, and the query stops if there are any. Two texts are equal when their ordered lists of
-identifiers (recipes) are equal. Only recipes travel: texts are read once and never shuffled.
+identifiers (recipes) are equal. A list travels as its own SHA-256 and a second hash of the whole list with
+lengths and checks; a digest with two such hashes stops the query. Texts are read once and never shuffled.
 
 Of equal texts the row with the most code points in its original text, then the smallest doc_id,
 stays.
@@ -16,8 +17,9 @@ stays.
 Defined results: null counts as empty, and all empty texts are equal; a null doc_id comes after
 all others; repeated rows of one doc_id and text share one verdict; an empty table gives no rows;
 other columns are ignored. Groups are counted before they are shuffled, so a group of any size
-costs one row per task; the join back to the rows is by recipe, whose large groups adaptive
-execution splits.
+costs one row per task; the join back to the rows is by the recipe's digest, whose large groups adaptive
+execution splits, and moves some 100 bytes a row. drop_copies decides row by row: rows of one doc_id (or none) with
+different texts are separate, and rows alike in doc_id and text stay or go together.
 """
 
 from __future__ import annotations
@@ -42,26 +44,36 @@ def recipes(
     min_chunk: int = MIN_CHUNK,
     max_chunk: int = MAX_CHUNK,
 ) -> DataFrame:
-    """doc_id, n_points (code points of the original), text_sha256 (normalised), recipe: the ordered
-    array of (id, n, check) of the chunks."""
+    """doc_id, raw (a hash of the original), n_points (its code points), text_sha256 (normalised), recipe: the ordered
+    array of (id, n, check) of the chunks, list_id and list_check: digest and second hash of the recipe."""
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     d = d.select(
         "doc_id",
+        F.xxhash64("text").alias("raw"),
         F.length("text").cast("long").alias("n_points"),
         F.regexp_replace("text", SPACE + "+", "").alias("norm"),
     )
     cut = rf"(?s).{{{min_chunk},{max_chunk - 5}}}?(?:{CUT})|.{{1,{max_chunk}}}"
     d = d.withColumn("chunks", F.regexp_extract_all("norm", F.lit(cut), F.lit(0)))
-    return d.select(
+    d = d.select(
         "doc_id",
+        "raw",
         "n_points",
         F.sha2("norm", 256).alias("text_sha256"),
         F.transform(
             "chunks",
-            lambda c: F.struct(
-                F.unhex(F.sha2(c, 256)).alias("id"), F.length(c).alias("n"), F.xxhash64(c).alias("check")
-            ),
-        ).alias("recipe"),
+            lambda c: F.struct(F.sha2(c, 256).alias("hex"), F.length(c).alias("n"), F.xxhash64(c).alias("check")),
+        ).alias("chunks"),
+    )
+    listed = F.array_join(F.transform("chunks", lambda c: c["hex"]), "")
+    return d.select(
+        "doc_id",
+        "raw",
+        "n_points",
+        "text_sha256",
+        F.transform("chunks", lambda c: F.struct(F.unhex(c["hex"]).alias("id"), c["n"].alias("n"), c["check"].alias("check"))).alias("recipe"),
+        F.unhex(F.sha2(listed, 256)).alias("list_id"),
+        F.xxhash64("chunks").alias("list_check"),
     )
 
 
@@ -80,28 +92,31 @@ def chunk_dictionary(recipe_rows: DataFrame) -> DataFrame:
     )
 
 
-def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+def exact_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, raw, keep_id, group_size, kept, text_sha256."""
     r = written(recipes(docs, doc_id, text), "recipes")
     if chunk_dictionary(r).filter(~F.col("verified")).limit(1).count():
         raise ValueError("two chunks share a SHA-256 identifier; recipes can't be compared")
     by_id = F.coalesce("doc_id", F.lit(NO_ID)).cast("decimal(38,0)")
     rank = F.col("n_points").cast("decimal(38,0)") * F.lit(ID_SPAN).cast("decimal(20,0)") - by_id
-    groups = r.groupBy("recipe").agg(
+    groups = r.groupBy("list_id").agg(
         F.max(rank.cast("decimal(38,0)")).alias("best"),
         F.max("n_points").alias("most"),
         F.count(F.lit(1)).alias("group_size"),
+        (F.min("list_check") == F.max("list_check")).alias("one"),
     )
     keep = F.col("most").cast("decimal(38,0)") * F.lit(ID_SPAN).cast("decimal(20,0)") - F.col("best")
+    keep = F.nullif(keep.cast("decimal(38,0)").cast("long"), F.lit(NO_ID))
     groups = groups.select(
-        F.col("recipe").alias("of_recipe"),
+        F.col("list_id").alias("of_list"),
         "most",
         "group_size",
-        F.nullif(keep.cast("decimal(38,0)").cast("long"), F.lit(NO_ID)).alias("keep_id"),
+        F.when(F.col("one"), keep).otherwise(F.raise_error(F.lit("two recipes share a digest"))).alias("keep_id"),
     )
-    j = r.join(groups, r["recipe"] == groups["of_recipe"])
+    j = r.select("doc_id", "raw", "n_points", "text_sha256", "list_id").join(groups, F.col("list_id") == F.col("of_list"))
     return j.select(
         "doc_id",
+        "raw",
         "keep_id",
         "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("most"))).alias("kept"),
@@ -109,7 +124,13 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
+def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    return exact_rows(docs, doc_id, text).drop("raw")
+
+
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns."""
-    gone = exact_groups(docs, doc_id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["gone_id"]), "left_anti")
+    """The documents that stay, with their own columns. Whole texts move once, past a table of the dropped rows' keys."""
+    gone = exact_rows(docs, doc_id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("raw").alias("gone_raw"))
+    same = docs[doc_id].cast("long").eqNullSafe(gone["gone_id"]) & (F.xxhash64(text_or_empty(docs[text])) == gone["gone_raw"])
+    return docs.join(gone.distinct().hint("shuffle_hash"), same, "left_anti")

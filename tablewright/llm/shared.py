@@ -14,10 +14,13 @@ SPACE = r"[\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A cluster names it in spark.checkpoint.dir;
-    only where that is unset (tests on one machine) a temporary folder is made and set."""
+    """The folder that driver and executors share. A cluster names it in spark.checkpoint.dir. Only in local mode,
+    where the driver is the only executor, a temporary folder is made and set if it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tablewright-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -28,6 +31,12 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Asks the path's own file system, whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back. This cuts the lineage:
     a lost executor costs a re-read of files, not a recomputation, and rows that carry generated
@@ -43,21 +52,3 @@ def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
 def text_or_empty(column: str | Column) -> Column:
     """Null texts count as empty ones."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
-
-
-#: Rows that go to a Python worker at a time. Whole texts travel, so the default of 10,000 would be a third of a
-#: gigabyte of long documents.
-BATCH_ROWS = 1000
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bounds what a Python worker and the JVM's buffers hold of a batch; never raises the session's own bound."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(name)) > BATCH_ROWS or int(spark.conf.get(name)) <= 0:
-        spark.conf.set(name, str(BATCH_ROWS))
-
-
-def map_arrow(df: DataFrame, work, schema: str) -> DataFrame:
-    """mapInArrow in small batches."""
-    small_batches(df.sparkSession)
-    return df.mapInArrow(work, schema)

@@ -1,8 +1,8 @@
 """Token counts through a digest cache.
 
 The cache is a table (tokenizer, digest, n_tokens): tokenizer is the digest of the vocabulary file
-and library version, digest the SHA-256 of the normalised content. Documents are joined to it by
-both; of the digests that it lacks one document each is encoded, and their counts are appended.
+and library version, digest the SHA-256 of the normalised content. It is partitioned by tokenizer, so a run reads
+its own tokenizer's counts only. Documents are joined to it by both; of the digests that it lacks one document each is encoded, and their counts are appended.
 Normalising here means that null becomes the empty text; nothing else may change, as any rewriting
 could change the count.
 
@@ -18,10 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import map_arrow, text_or_empty, written
+from tablewright.llm.shared import exists, text_or_empty, written
 from tablewright.llm.tokenize import version_digest
 
-CACHE = "tokenizer string, digest binary, n_tokens long"
+CACHE = "digest binary, n_tokens long"
 LIMIT = 2048
 NO_ID = -9_223_372_036_854_775_808
 
@@ -39,16 +39,15 @@ def encode_counts(texts: DataFrame, tokenizer: str) -> DataFrame:
             counts = enc.counts(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
-    return map_arrow(texts, work, "digest binary, n_tokens long")
+    return texts.mapInArrow(work, "digest binary, n_tokens long")
 
 
 def count_tokens(
     docs: DataFrame, tokenizer: str, cache_path: str, limit: int = LIMIT, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_tokens, over_limit. Appends to the table at cache_path."""
-    spark, version = docs.sparkSession, version_digest(tokenizer)
-    spark.createDataFrame([], CACHE).coalesce(1).write.mode("append").parquet(cache_path)
-    cache = spark.read.schema(CACHE).parquet(cache_path).filter(F.col("tokenizer") == version)
+    spark, own = docs.sparkSession, f"{cache_path}/tokenizer={version_digest(tokenizer)}"
+    cache = spark.read.schema(CACHE).parquet(own) if exists(spark, own) else spark.createDataFrame([], CACHE)
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     d = d.withColumn("digest", F.unhex(F.sha2("text", 256)))
     keyed = written(d.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "digests")
@@ -58,9 +57,7 @@ def count_tokens(
     chosen = misses.groupBy("digest").agg(F.min(key).alias("key"))
     # A hash join, as sorting texts to pick some is the costlier way; its built side holds no text.
     texts = d.withColumn("key", key).join(chosen.hint("shuffle_hash"), ["key", "digest"], "left_semi").select("digest", "text")
-    new = encode_counts(texts, tokenizer).select(F.lit(version).alias("tokenizer"), "digest", "n_tokens")
-    new.write.mode("append").parquet(cache_path)
+    encode_counts(texts, tokenizer).write.mode("append").parquet(own)
 
-    counts = spark.read.schema(CACHE).parquet(cache_path).filter(F.col("tokenizer") == version)
-    counts = counts.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+    counts = spark.read.schema(CACHE).parquet(own).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
     return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -60,7 +60,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def brute_quality(rows):
-    out, lines_of, sig, words_of = {}, {}, {}, {}
+    out, lines_of, content, words_of = {}, {}, {}, {}
     for k, (_, text, host) in enumerate(rows):
         text = text or ""
         w = WORD.findall(text)
@@ -68,23 +68,24 @@ def brute_quality(rows):
         n = Counter(grams)
         cover = {i + j for i, g in enumerate(grams) if n[g] > 1 for j in range(5)}
         full = [x for x in text.split("\n") if WORD.search(x)]
-        long = [x for x in w if len(x) >= 8] or w
-        sig[k] = (min((x.encode() for x in long), default=None), max((x.encode() for x in long), default=None))
+        content[k] = " ".join(w).lower()
         lines_of[k], words_of[k] = [" ".join(WORD.findall(x)).lower() for x in full], len(w)
         base = len(w) < 10 or 100 * len(cover) > 20 * len(w)
         out[k] = [len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(full) - len(set(full)), len(cover), base]
-    docs_of, held = defaultdict(set), defaultdict(set)
+    held = defaultdict(set)
     for k, (_, _, host) in enumerate(rows):
-        docs_of[host].add(sig[k])
         for x in lines_of[k]:
-            held[host, x].add(sig[k])
+            held[host, x].add(content[k])
     for k, (_, _, host) in enumerate(rows):
-        lost = sum(len(x.split(" ")) for x in lines_of[k] if len(held[host, x]) > 10 and 10 * len(held[host, x]) > len(docs_of[host]))
+        lost = sum(len(x.split(" ")) for x in lines_of[k] if len(held[host, x]) > 20)
         left = words_of[k] - lost
         out[k].append(not out[k][5] and not (lost and (left < 10 or 4 * left < words_of[k])))
     return out
 
 
+COOKIE = "Accepting cookies helps us, zzzzzzzz policy of this site"
+
+
 def quality_rows():
     rows = [(i, t, "h1") for i, t in enumerate(ODD)]
     common = "Subscribe to our LETTER now please"
@@ -92,26 +93,53 @@ def quality_rows():
         own = " ".join(f"w{i}x{j}longword" for j in range(8 if i % 4 == 0 else 15))
         rows.append((100 + i, f"{own}\n{common}  " if i % 2 else f"{own}\n subscribe to  our letter now please", "h2"))
     rows += [(200 + i, "copied document with quite a few different words in one long line\nand a second line of text", "h2") for i in range(60)]
+    # Copies with other white space, lines and rows are still one document.
+    rows += [(260 + i, "copied document with quite a few different words in one long line\n" + "\n" * i + " and  a second line of text", "h2") for i in range(30)]
     rows += [(300, "one two three four five six seven\n" * 6, None), (301, None, None), (None, "a b c d e f g h i j k l m", None)]
+    # One line of a host in different documents, between others, with extreme words in the line itself.
+    rows += [(400 + i, f"body {i} has words of its own {i * i} and more\n\n{COOKIE}\nend of document number {i} comes here", "h3") for i in range(40)]
+    # The same line in as many documents as the limit allows.
+    rows += [(500 + i, f"body {i} has words of its own {i * i} and more\n{COOKIE}", "h4") for i in range(20)]
+    # Depleted pages that share one notice of a hundred words; a null host is another host than an empty one.
+    notice = " ".join(f"notice{i}" for i in range(100))
+    rows += [(600 + i, f"{notice}\n" + " ".join(f"a{i}b{j}" for j in range(12)), ("h5", None, "")[i % 3]) for i in range(90)]
+    # A line twice in a document counts once and goes twice; null and repeated ids.
+    rows += [(None if i % 2 else 700, f"{COOKIE}\nsome body text {i} of the page which is long enough to stay\n{COOKIE}", "h6") for i in range(30)]
+    rows += [(800, "word " + "x" * 50_000 + "\n" + f"{COOKIE}\n" * 3000 + "tail", "h6")] * 2
     return rows
 
 
 def test_quality_against_plain_python(spark):
     rows = quality_rows()
-    got = quality.verdicts(docs(spark, [(i, t, s) for i, t, s in rows]).withColumn("doc_id", F.col("doc_id")), carry=("n_chars",))
+    got = quality.verdicts(docs(spark, rows).withColumns({"unit": F.lit("clash"), "removed": F.lit(1), "lines": F.lit(2)}), carry=("n_chars",))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     have = Counter((r["doc_id"], *[r[c] for c in names]) for r in got.collect())
     assert have == Counter((rows[k][0], *v) for k, v in brute_quality(rows).items())
     kept = {r["doc_id"] for r in got.filter("kept").collect()}
-    assert {200, 259} <= kept and 100 not in kept and 101 in kept
+    assert {200, 259, 260, 289} <= kept and 100 not in kept and 101 in kept
+    assert not kept & set(range(600, 690)) and set(range(400, 440)) <= kept
+
+
+def brute_clean(rows):
+    verdict, held = brute_quality(rows), defaultdict(set)
+    plain = lambda x: " ".join(WORD.findall(x)).lower()
+    for _, text, host in rows:
+        words = plain(text or "")
+        for x in (text or "").split("\n"):
+            held[host, plain(x)].add(words)
+    return sorted((i or -1, "\n".join(x for x in t.split("\n") if not plain(x) or len(held[h, plain(x)]) <= 20)) for k, (i, t, h) in enumerate(rows) if verdict[k][-1])
 
 
 def test_clean_removes_lines_and_keeps_columns(spark):
-    d = docs(spark, quality_rows())
+    rows = quality_rows()
+    d = docs(spark, rows)
     c = quality.clean(d)
     assert c.columns == d.columns
-    text = {r["doc_id"]: r["text"] for r in c.collect()}
+    got = c.collect()
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in got) == brute_clean(rows)
+    text = {r["doc_id"]: r["text"] for r in got}
     assert "letter" not in text[101].lower() and "w1x0longword" in text[101]
+    assert COOKIE not in text[400] and COOKIE in text[500] and text[400].count("\n") == 2
     assert quality.clean(d.filter("false")).count() == 0
 
 
@@ -147,10 +175,14 @@ def test_chunks_follow_content(spark):
     assert dictionary.filter("NOT verified").count() == 0 and dictionary.agg(F.sum("uses")).first()[0] == len(r[1]) + len(r[2])
 
 
-def test_drop_copies_keeps_columns(spark):
-    d = docs(spark, [(1, "a b", "s"), (2, "ab", "s"), (3, "c", "s"), (4, None, "s")])
+def test_drop_copies_row_by_row(spark):
+    rows = [(1, "x y", "s"), (None, "xy", "s"), (None, "unique text", "s"), (7, "x  y z", "s"), (9, "xyz", "s"), (9, "only here", "s"), (4, None, "s"), (5, "", "s"), (5, "", "s"), (6, "twin", "s"), (6, "twin", "s")]
+    d = docs(spark, rows).withColumns({"raw": F.lit(0), "gone_id": F.lit(1), "kept": F.lit(True)})
     out = exact.drop_copies(d)
-    assert out.columns == d.columns and {r["doc_id"] for r in out.collect()} == {1, 3, 4}
+    assert out.columns == d.columns
+    stay = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert stay == Counter([(1, "x y"), (None, "unique text"), (7, "x  y z"), (9, "only here"), (4, None), (6, "twin"), (6, "twin")])
+    assert exact.drop_copies(d.filter("false")).count() == 0
 
 
 # --- mixing -----------------------------------------------------------------------------------------
@@ -211,6 +243,26 @@ def test_mixing_edges(spark, rows):
     assert len(got) == {0: 0, 1: 0, 2: 4}[len(rows)]
 
 
+def test_keep_selected_row_by_row(spark):
+    # Two documents without an id, of three tokens each, and a budget of three: one stays.
+    d = docs(spark, [(None, "one two three", "s"), (None, "four five six", "s")]).withColumns({"tie": F.lit(0), "picked_id": F.lit(0)})
+    out = mixing.keep_selected(d, F.lit("x"), F.lit(3), {})
+    assert out.columns == d.columns and out.count() == 1
+    # One id with two texts: each has a place of its own. Rows that are alike stay or go together.
+    d = docs(spark, [(5, f"{w} two three", "s") for w in "abcdefgh"])
+    assert mixing.keep_selected(d, F.lit("x"), F.lit(12), {}).count() == 4
+    d = docs(spark, [(5, "one two three", "s")] * 4 + [(6, None, None), (None, "", "s")])
+    assert mixing.keep_selected(d, F.lit("x"), F.lit(3), {}).filter("doc_id = 5").count() in (0, 4)
+    long = docs(spark, [(1, "w " * 400_000, "s"), (2, "w", "s")])
+    assert {r["doc_id"]: r["n_tokens"] for r in mixing.select_by_budget(long, F.lit("x"), F.lit(400_001), {}).collect()} == {1: 400_000, 2: 1}
+
+
+def test_default_weights_of_null_names(spark):
+    rows = [(i, "w " * 10, None if i % 2 else "en", None, None, 0) for i in range(40)]
+    got = mix(spark, rows, 200)
+    assert Counter(r["lang"] for r in got) == {"": 10, "en": 10}
+
+
 def test_keep_selected_keeps_columns(spark):
     d = docs(spark, [(i, "one two three", f"s{i % 3}") for i in range(30)])
     out = mixing.keep_selected(d, F.lit("x"), F.expr("all_tokens div 2"), {})
