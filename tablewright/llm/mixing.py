@@ -18,8 +18,9 @@ A token is a word [^\x20\x09-\x0D]+ here, counted over whole texts.
 
 Defined results: null text has 0 tokens; documents of 0 tokens are taken as their place in the
 order says; null domain, language or source is a node of its own named ''; weights must be positive
-integers, names not given weigh default_weight; a null doc_id is ordered as 'null'; repeated rows are
-separate documents with one place; an empty table gives no rows.
+integers, names not given weigh default_weight; the order is by doc_id ('null' if it has none) and text, so rows of
+one doc_id, or of none, with different texts have places of their own; rows alike in both have one place and are taken
+together; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import written
+from tablewright.llm.shared import text_or_empty, written
 
 LEVELS = ("domain", "lang", "source")
 SLOTS = 1024
@@ -41,9 +42,9 @@ def weight_of(level: str, weights: dict[str, int], default: int) -> Column:
     return reduce(lambda c, kv: F.when(F.col(level) == kv[0], kv[1]).otherwise(c), sorted(weights.items()), F.lit(default)).cast("long")
 
 
-def order_hash(doc_id: Column, epoch: Column, seed: int) -> Column:
-    """48 bits of a hash that SQL engines share."""
-    text = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def order_hash(doc_id: Column, digest: Column, epoch: Column, seed: int) -> Column:
+    """48 bits of a hash that SQL engines share. digest: the MD5 of the text."""
+    text = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null")), digest)
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
 
@@ -97,13 +98,14 @@ def select_by_budget(
     lang: str = "lang",
     source: str = "source",
 ) -> DataFrame:
-    """One row per document and epoch taken: doc_id, domain, lang, source, n_tokens, epoch (from 0)."""
+    """One row per document and epoch taken: doc_id, domain, lang, source, n_tokens, epoch (from 0), digest (MD5 of the text)."""
     d = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.coalesce(domain, F.lit("")).alias("domain"),
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.coalesce(F.col(source), F.lit("")).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_tokens"),
+        F.md5(text_or_empty(text)).alias("digest"),
     )
     d = written(d, "mixing-tokens")
     leaves = d.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
@@ -113,7 +115,7 @@ def select_by_budget(
     budgets = budgets.withColumn("need", F.least(F.col("budget") - F.col("epoch") * F.col("tokens"), F.col("tokens")))
     # A row per leaf and epoch; written, as two parts of the plan need it.
     budgets = written(budgets.filter(F.col("need") > 0).select(*LEVELS, "epoch", "need"), "budgets", few=True)
-    j = d.join(budgets, list(LEVELS)).withColumn("h", order_hash(F.col("doc_id"), F.col("epoch"), seed))
+    j = d.join(budgets, list(LEVELS)).withColumn("h", order_hash(F.col("doc_id"), F.col("digest"), F.col("epoch"), seed))
     j = j.withColumn("slot", F.shiftright("h", 48 - (slots - 1).bit_length()))
     key = [*LEVELS, "epoch"]
     sums = j.groupBy(*key, "slot", "need").agg(F.sum("n_tokens").alias("slot_tokens"))
@@ -122,7 +124,7 @@ def select_by_budget(
     taken = sums.filter(F.col("before") < F.col("need")).select(*key, "slot", "before", "slot_tokens")
     j = j.join(taken, [*key, "slot"])
     ends = F.col("before") + F.col("slot_tokens") > F.col("need")
-    out = ["doc_id", *LEVELS, "n_tokens", F.col("epoch").cast("long").alias("epoch")]
+    out = ["doc_id", *LEVELS, "n_tokens", F.col("epoch").cast("long").alias("epoch"), "digest"]
     whole = j.filter(~ends).select(*out)
     inside = W.partitionBy(*key, "slot").orderBy("h").rangeBetween(W.unboundedPreceding, -1)
     part = j.filter(ends).withColumn("at", F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
@@ -132,5 +134,6 @@ def select_by_budget(
 def keep_selected(docs: DataFrame, domain: Column, total: Column, weights: dict[str, dict[str, int]], seed: int = SEED, doc_id: str = "doc_id", **names) -> DataFrame:
     """The documents within their leaf's budget, once each, with their own columns."""
     picked = select_by_budget(docs, domain, total, weights, max_epochs=1, seed=seed, doc_id=doc_id, **names)
-    picked = picked.select(F.col("doc_id").alias("picked_id")).distinct()
-    return docs.join(picked.hint("shuffle_hash"), docs[doc_id].eqNullSafe(picked["picked_id"]), "left_semi")
+    picked = picked.select(F.col("doc_id").alias("picked_id"), F.col("digest").alias("picked_digest")).distinct()
+    same = docs[doc_id].eqNullSafe(picked["picked_id"]) & (F.md5(text_or_empty(docs[names.get("text", "text")])) == picked["picked_digest"])
+    return docs.join(picked.hint("shuffle_hash"), same, "left_semi")

@@ -24,7 +24,7 @@ def water_level(source: str, parents: str, name: str) -> str:
 MIXING = f"""
 WITH d AS (
   SELECT doc_id, coalesce('d' || (ascii(right(source, 1)) % 3)::VARCHAR, '') AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens FROM documents),
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS n_tokens, md5(coalesce(text, '')) AS digest FROM documents),
 leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, (sum(n_tokens) * {MIX_EPOCHS})::BIGINT AS cap FROM d GROUP BY ALL),
 b1 AS ({water_level(f"SELECT 0 AS root, domain, sum(cap)::BIGINT AS cap, {weight_case('domain')} AS weight, ((SELECT sum(tokens) FROM leaves) * 6 // 10)::BIGINT AS budget FROM leaves GROUP BY domain", "root", "domain")}),
 b2 AS ({water_level(f"SELECT n.domain, n.lang, n.cap, {weight_case('lang')} AS weight, b1.budget FROM (SELECT domain, lang, sum(cap)::BIGINT AS cap FROM leaves GROUP BY ALL) n JOIN b1 USING (domain)", "domain", "lang")}),
@@ -33,7 +33,7 @@ need AS (
   SELECT l.domain, l.lang, l.source, e.epoch, least(b3.budget - e.epoch * l.tokens, l.tokens) AS need
   FROM leaves l JOIN b3 USING (domain, lang, source), (SELECT unnest(range({MIX_EPOCHS})) AS epoch) e),
 placed AS (
-  SELECT d.*, n.epoch, n.need, ('0x' || substr(md5('17:' || n.epoch::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 12))::BIGINT AS h
+  SELECT d.*, n.epoch, n.need, ('0x' || substr(md5('17:' || n.epoch::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || d.digest), 1, 12))::BIGINT AS h
   FROM d JOIN need n USING (domain, lang, source) WHERE n.need > 0),
 summed AS (
   SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source, epoch ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed)
@@ -79,12 +79,9 @@ lines AS (
   SELECT doc_id, host, l, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
   FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY doc_id),
-marks AS (
-  SELECT doc_id, host, coalesce(list_min(long), '') || chr(0) || coalesce(list_max(long), '') AS sig
-  FROM (SELECT doc_id, host, CASE WHEN len(long) > 0 THEN long ELSE words END AS long FROM (SELECT doc_id, host, words, list_filter(words, lambda x: length(x) >= 8) AS long FROM w))),
-hosts AS (SELECT host, count(DISTINCT sig) AS docs FROM marks GROUP BY host),
-held AS (SELECT l.host, l.norm, count(DISTINCT m.sig) AS n FROM lines l JOIN marks m USING (doc_id) GROUP BY ALL),
-gone AS (SELECT held.host, norm FROM held JOIN hosts ON held.host IS NOT DISTINCT FROM hosts.host WHERE n > 10 AND n * 100 > docs * 10),
+content AS (SELECT doc_id, lower(trim(regexp_replace(text, '[\x20\x09-\x0D]+', ' ', 'g'))) AS words FROM d),
+held AS (SELECT l.host, l.norm, count(DISTINCT c.words) AS n FROM lines l JOIN content c USING (doc_id) GROUP BY ALL),
+gone AS (SELECT host, norm FROM held WHERE n > 20),
 lost AS (
   SELECT doc_id, sum(len(regexp_extract_all(l.norm, '[^ ]+'))) AS n FROM lines l JOIN gone g ON l.host IS NOT DISTINCT FROM g.host AND l.norm = g.norm GROUP BY doc_id),
 base AS (

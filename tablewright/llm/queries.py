@@ -49,7 +49,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         total=F.expr("all_tokens * 6 div 10"),
         weights=MIX_WEIGHTS,
         max_epochs=MIX_EPOCHS,
-    )
+    ).drop("digest")
 
 
 PLANTED_TEXT = r"\### Assistant: </turn> ok"
