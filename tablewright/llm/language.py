@@ -7,14 +7,14 @@ contexts that were never seen cost nothing, and below order 0 all 256 bytes are
 code length in a language is the exact sum over all its bytes; the shortest wins, and the score
 is its posterior probability under equal priors.
 
-With frozen counts the cost of a byte depends on it and the three bytes before only, so costs are
-laid out once, for all languages side by side, and texts are scored by numpy gathers. Texts are
-preceded by three line feeds, in training and in scoring.
+With frozen counts the cost of a byte depends on it and the three bytes before only. Costs are laid out once, for all
+languages side by side: dense tables for orders 0 and 1, and for orders 2 and 3 a row for each string of three or four
+bytes that any language has seen, found by hashing, so texts are scored by numpy gathers. All 256 bytes and every
+context of the sample count. Texts are preceded by three line feeds, in training and in scoring.
 
-Bounds of the model: max_docs rows of a language, each of max_doc_bytes at most, in the order of a hash
-of doc_id; at most max_symbols bytes are told apart (the commonest; the others are one symbol, each
-paid like a byte never seen), and max_contexts contexts of order 3 (the commonest). It has about 4 *
-(max_symbols**2 + max_contexts) * max_symbols bytes for each language at most, which bounds the broadcast.
+The sample is bounded: max_docs rows of a language, each of max_doc_bytes at most, in the order of a hash of doc_id. The
+model is broadcast and has at most max_model_bytes; training stops with an error beyond (some 30 MB for each language
+in practice), and the sample must then be made smaller.
 
 Defined results: `und` with score 0 for null text or a text without a letter, and for all texts if no
 labelled row was there to learn from; equal lengths go to the first language in order; a null doc_id
@@ -32,20 +32,83 @@ from pyspark.sql import functions as F
 ORDER = 3
 PAD = b"\n" * ORDER
 MAX_DOCS, MAX_DOC_BYTES = 400, 65_536
-MAX_SYMBOLS, MAX_CONTEXTS = 128, 40_000
+MAX_MODEL_BYTES = 1 << 29
 #: Bytes that are scored at a time.
 BLOCK = 1 << 18
 UNKNOWN = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, bits double"
 
 
+class Rows:
+    """Numbers of known keys, by open addressing: all keys of an array are looked up at a time."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(len(keys) * 4).bit_length())
+        self.key = np.zeros(1 << self.bits, np.uint32)
+        self.row = np.full(1 << self.bits, -1, np.int32)
+        left, at = np.arange(len(keys)), self._place(keys)
+        while len(left):
+            free = np.flatnonzero(self.row[at] < 0)
+            _, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.key[at[won]], self.row[at[won]] = keys[left[won]], left[won]
+            rest = np.ones(len(left), bool)
+            rest[won] = False
+            left, at = left[rest], (at[rest] + 1) & (len(self.key) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for unknown ones."""
+        at = self._place(keys)
+        out = self.row[at]
+        left = np.flatnonzero((out >= 0) & (self.key[at] != keys))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & (len(self.key) - 1)
+            out[left] = self.row[at]
+            wrong = (out[left] >= 0) & (self.key[at] != keys[left])
+            left, at = left[wrong], at[wrong]
+        return out
+
+
 @dataclass
 class Model:
+    """Bits: a column for each language. Keys are bytes in text order, the coded byte last."""
+
     languages: list[str]
-    symbol: np.ndarray  # byte -> symbol
-    size: int  # symbols
-    row: np.ndarray  # three symbols -> row of costs
-    cost: np.ndarray  # (row * size + symbol, language) -> bits
+    one: np.ndarray  # (two bytes) -> cost in order 1
+    escape_two: np.ndarray  # (two bytes) -> escape of that context
+    threes: Rows
+    two: np.ndarray  # row of three bytes -> cost in order 2
+    escape_three: np.ndarray  # row of three bytes -> escape of that context
+    fours: Rows
+    three: np.ndarray  # row of four bytes -> cost in order 3
+
+    @property
+    def size(self) -> int:
+        parts = (self.one, self.escape_two, self.two, self.escape_three, self.three, self.threes.key, self.threes.row, self.fours.key, self.fours.row)
+        return sum(p.nbytes for p in parts)
+
+    def order_two(self, keys: np.ndarray) -> np.ndarray:
+        """Costs of strings of three bytes in order 2."""
+        row = self.threes.find(keys)
+        out = self.two[row]
+        new = np.flatnonzero(row < 0)
+        out[new] = self.escape_two[keys[new] >> 8] + self.one[keys[new] & 0xFFFF]
+        return out
+
+    def costs(self, keys: np.ndarray) -> np.ndarray:
+        """Costs of strings of four bytes."""
+        row = self.fours.find(keys)
+        out = self.three[row]
+        new = np.flatnonzero(row < 0)
+        out[new] = self.order_two(keys[new] & 0xFFFFFF)
+        context = self.threes.find(keys[new] >> 8)
+        seen = context >= 0
+        out[new[seen]] += self.escape_three[context[seen]]
+        return out
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code lengths in bits: a row for each text, a column for each language."""
@@ -64,58 +127,66 @@ class Model:
         return out
 
     def _add(self, out: np.ndarray, group: list[tuple[int, bytes]]) -> None:
-        s = self.symbol[np.frombuffer(b"".join(p for _, p in group), np.uint8)]
-        context = (s[:-3] * self.size + s[1:-2]) * self.size + s[2:-1]
-        bits = np.cumsum(self.cost[self.row[context] * self.size + s[3:]], axis=0, dtype=np.float64)
+        s = np.frombuffer(b"".join(p for _, p in group), np.uint8)
+        bits = np.cumsum(self.costs(strings(s, 4)), axis=0, dtype=np.float64)
         bits = np.vstack([np.zeros((1, bits.shape[1])), bits])
         ends = np.cumsum([len(p) for _, p in group])
         starts = ends - [len(p) for _, p in group]
         np.add.at(out, [i for i, _ in group], bits[ends - ORDER] - bits[starts])
 
 
-def _level(n: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Costs from counts (contexts, symbols) and the costs of the next shorter contexts."""
-    total, kinds = n.sum(1, keepdims=True), (n > 0).sum(1, keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        seen, escape = -np.log2(n / (total + kinds)), -np.log2(kinds / (total + kinds))
-    return np.where(n > 0, seen, np.where(total > 0, escape, 0) + shorter).astype(np.float32)
+def strings(s: np.ndarray, length: int) -> np.ndarray:
+    """All strings of so many bytes, as numbers."""
+    out = np.zeros(max(0, len(s) - length + 1), np.uint32)
+    for i in range(length):
+        out = (out << np.uint32(8)) | s[i : len(s) - length + 1 + i]
+    return out
 
 
-def train(samples: dict[str, list[bytes]], max_symbols: int = MAX_SYMBOLS, max_contexts: int = MAX_CONTEXTS) -> Model:
-    languages = sorted(samples)
-    joined = {g: b"".join(PAD + t for t in samples[g]) for g in languages}
-    # Positions whose three bytes before belong to the same text.
-    inside = {g: np.concatenate([np.r_[np.zeros(ORDER, bool), np.ones(len(t), bool)] for t in samples[g]] or [np.zeros(0, bool)]) for g in languages}
-    seen = sum(np.bincount(np.frombuffer(b, np.uint8), minlength=256) for b in joined.values())
-    common = np.argsort(-seen, kind="stable")[: max_symbols - 1]
-    common = np.sort(common[seen[common] > 0])
-    r = len(common) + 1
-    symbol = np.full(256, r - 1, np.int32)
-    symbol[common] = np.arange(r - 1)
+def _seen(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct strings with their costs, their contexts with the escapes' costs."""
+    u, n = np.unique(grams, return_counts=True)
+    contexts, at = np.unique(u >> 8, return_inverse=True)
+    total, kinds = np.bincount(at, n), np.bincount(at)
+    return u, -np.log2(n / (total + kinds)[at]) if len(u) else np.zeros(0), contexts, -np.log2(kinds / (total + kinds))
 
+
+def train(samples: dict[str, list[bytes]], max_model_bytes: int = MAX_MODEL_BYTES) -> Model:
+    languages = sorted(samples)
     grams = {}
     for g in languages:
-        s = symbol[np.frombuffer(joined[g], np.uint8)].astype(np.int64)
-        ok = inside[g][ORDER:]
-        grams[g] = ((((s[:-3] * r + s[1:-2]) * r + s[2:-1]) * r) + s[3:])[ok]
-    contexts, n = np.unique(np.concatenate([x // r for x in grams.values()] or [np.zeros(0, np.int64)]), return_counts=True)
-    contexts = np.sort(contexts[np.argsort(-n, kind="stable")[:max_contexts]])
-
-    row = np.tile(np.arange(r * r, dtype=np.int32), r)  # by default the row of the last two symbols
-    row[contexts] = r * r + np.arange(len(contexts), dtype=np.int32)
-    cost = np.empty((r * r + len(contexts), r, len(languages)), np.float32)
+        # Four bytes that end inside a text; each text has its own bytes in front.
+        joined = np.frombuffer(b"".join(PAD + t for t in samples[g]), np.uint8)
+        inside = np.concatenate([np.r_[np.zeros(ORDER, bool), np.ones(len(t), bool)] for t in samples[g]] or [np.zeros(0, bool)])
+        grams[g] = strings(joined, 4)[inside[ORDER:]]
+    every = np.unique(np.concatenate([np.zeros(0, np.uint32), *grams.values()]))
+    threes = np.unique(np.concatenate([every & 0xFFFFFF, every >> 8]))
+    shape = len(languages)
+    table = lambda n: np.zeros((max(1, n), shape), np.float32)
+    m = Model(languages, table(1 << 16), table(1 << 16), Rows(threes), table(len(threes)), table(len(threes)), Rows(every), table(len(every)))
+    if m.size > max_model_bytes:
+        raise ValueError(f"the language model has {m.size} bytes, more than {max_model_bytes}: take fewer or shorter samples")
     for k, g in enumerate(languages):
         x = grams[g]
-        zero = _level(np.bincount(x % r, minlength=r)[None, :], np.full((1, r), 8.0))
-        one = _level(np.bincount(x % r**2, minlength=r**2).reshape(r, r), zero)
-        two = _level(np.bincount(x % r**3, minlength=r**3).reshape(r * r, r), np.tile(one, (r, 1)))
-        at = np.searchsorted(contexts, x // r)
-        at = np.minimum(at, max(0, len(contexts) - 1))
-        known = contexts[at] == x // r if len(contexts) else np.zeros(len(x), bool)
-        three = np.bincount(at[known] * r + x[known] % r, minlength=len(contexts) * r).reshape(len(contexts), r)
-        cost[: r * r, :, k] = two
-        cost[r * r :, :, k] = _level(three, two[contexts % (r * r)])
-    return Model(languages, symbol, r, row, cost.reshape(-1, len(languages)))
+        zero = np.full(256, 8.0)
+        u, cost, contexts, escape = _seen(x & 0xFF)
+        zero += escape[0] if len(escape) else 0.0
+        zero[u] = cost
+        u, cost, contexts, escape = _seen(x & 0xFFFF)
+        one = np.tile(zero, 256).reshape(256, 256)
+        one[contexts] += escape[:, None]
+        one = one.ravel()
+        one[u] = cost
+        m.one[:, k] = one
+        u, cost, contexts, escape = _seen(x & 0xFFFFFF)
+        m.escape_two[contexts, k] = escape
+        m.two[: len(threes), k] = m.escape_two[threes >> 8, k] + m.one[threes & 0xFFFF, k]
+        m.two[m.threes.find(u), k] = cost
+        u, cost, contexts, escape = _seen(x)
+        m.escape_three[m.threes.find(contexts), k] = escape
+        m.three[: len(every), k] = m.escape_three[m.threes.find(every >> 8), k] + m.two[m.threes.find(every & 0xFFFFFF), k]
+        m.three[m.fours.find(u), k] = cost
+    return m
 
 
 def fold(doc_id: str) -> Column:

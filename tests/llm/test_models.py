@@ -47,6 +47,20 @@ def test_code_lengths_are_exact():
         assert got[i, k] == pytest.approx(brute_length(t, samples[g]), abs=1e-3 * (1 + len(t)))
 
 
+def test_code_lengths_of_many_bytes_and_contexts():
+    """All 256 bytes, and far more contexts than any dense table of common ones would keep."""
+    rnd = random.Random(6)
+    samples = {"x": [rnd.randbytes(30_000)], "y": [bytes(range(256)) * 3 + rnd.randbytes(30_000)], "z": ["жук и лев 狮子 สิงโต".encode() * 5]}
+    m = language.train(samples)
+    assert len(m.three) > 55_000
+    texts = [rnd.randbytes(400), samples["x"][0][:300] + b"\x00\xff", "лев жук 子狮 โตสิง".encode()]
+    got = m.lengths(texts)
+    for (i, t), (k, g) in itertools.product(enumerate(texts), enumerate(m.languages)):
+        assert got[i, k] == pytest.approx(brute_length(t, samples[g]), abs=1e-3 * (1 + len(t)))
+    with pytest.raises(ValueError, match="samples"):
+        language.train(samples, max_model_bytes=1000)
+
+
 def test_long_texts_are_scored_whole():
     m = language.train({"x": [b"abcab"], "y": [b"bca"]})
     t = bytes(random.Random(2).choices(b"abcd", k=2 * language.BLOCK + 17))
