@@ -1,15 +1,17 @@
 r"""Main text of HTML pages by minimum-cut labelling.
 
-A page is read into blocks of text in order. A block's evidence for or against being content
-(tags and names around it, links, words, punctuation) becomes a capacity to the source or to the
-sink. Blocks that follow each other, and neighbouring blocks of one parent element, are joined by edges
-that cost less the farther apart they are in the tree. The minimum cut separates content from
-boilerplate at the least sum of evidence overruled and edges cut; content is what the source still
+A page is read into blocks of text in order. Costs are a linear classifier of bounded features: words, links,
+punctuation, kind of element, whether the block stands in an article, and the marks of the elements around it. Its sign and
+size become a capacity to the source or to the sink. Blocks that follow each other, and neighbouring blocks of one
+parent element, are joined by edges that cost less the farther apart they are in the tree. The minimum cut separates
+content from boilerplate at the least sum of evidence overruled and edges cut; content is what the source still
 reaches when the flow is maximal.
 
-Evidence of markup (navigation, footers, forms, adverts, comments, hidden parts) is far stronger than
-any sum of edges, so such blocks never join the text, while a short paragraph between
-long ones does.
+Marks. Elements made for boilerplate (navigation, footers, forms, hidden parts) and names in class and id mark what is
+in them. In a name such as `article-sidebar` the last word says what the element is; a word before it (`menu-item`) is a weaker
+mark, but for comments and adverts, and names that speak of layout (`has-sidebar`, `no-menu`, `ad-free`) are none. A form and the
+weaker marks end where an article or main element begins. A mark adds to the other features and no mark is infinite.
+There are no labelled pages to fit the weights on; they are set by hand and held against generated pages in the tests.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are
 trimmed and joined by one space. Inline tags add nothing between letters; block tags and <br> end or split.
@@ -53,11 +55,16 @@ CLOSES = {
 BAD_TAGS = frozenset("nav footer aside form button dialog menu head fieldset legend label".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 BAD_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored sponsors sidebar sidebars aside menu menus nav "
-    "navbar navigation navi breadcrumb breadcrumbs footer footers masthead topbar toolbar comment comments commentlist disqus reply replies respond "
-    "reactions cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended recommendations widget widgets pagination pager copyright disclaimer form search skip".split()
+    "banner sidebar sidebars aside menu menus nav navbar navigation navi breadcrumb breadcrumbs footer footers masthead topbar toolbar notice notices "
+    "popup modal overlay signup login widget widgets pagination pager copyright disclaimer search skip".split()
 )
+#: These mark an element wherever they stand in a name.
+WORST_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense promo promotion sponsor sponsored sponsors comment comments commentlist disqus reply replies "
+    "respond reactions cookie cookies consent gdpr newsletter subscribe subscription share sharing social related recommended recommendations".split()
+)
+#: Names with these are about layout.
+LAYOUT_WORDS = frozenset("has have no not with without free off hide none layout enabled disabled".split())
 GOOD_WORDS = frozenset("article articlebody content entry main post story text body".split())
 
 TAG = re.compile(
@@ -68,35 +75,60 @@ ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
-#: Evidence and edges, in units of about ten words.
-BAD, IN_ARTICLE, NEAR, SIBLING = 100.0, 6.0, 1.0, 1.0
+#: Weights of marks (by element, by name, by a part of a name), of an article and of edges, in units of about ten words.
+TAG_MARK, NAME_MARK, PART_MARK, IN_ARTICLE, NEAR, SIBLING = 20.0, 16.0, 4.0, 6.0, 1.0, 1.0
+
+
+def name_mark(name: str) -> tuple[float, bool]:
+    """The mark of one class or id, and whether an article inside ends it."""
+    words = [w.lower() for w in NAME_PART.findall(name)]
+    if not words or LAYOUT_WORDS.intersection(words):
+        return 0.0, True
+    if words[-1] in BAD_WORDS or WORST_WORDS.intersection(words):
+        return NAME_MARK, False
+    if words[-1] == "form":
+        return NAME_MARK, True
+    return (PART_MARK if BAD_WORDS.intersection(words) else 0.0), True
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "bad", "good", "link")
+    """firm: the mark that stays whatever is inside; loose: the mark that ends at an article."""
+
+    __slots__ = ("tag", "parent", "depth", "firm", "loose", "good", "link")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str = ""):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.bad, self.good, self.link = (parent.bad, parent.good, parent.link) if parent else (False, False, False)
-        article = tag in ("article", "main")
+        self.firm, self.loose, self.good, self.link = (parent.firm, parent.loose, parent.good, parent.link) if parent else (0.0, 0.0, False, False)
+        a = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
+        role = a.get("role", "").lower()
+        article = tag in ("article", "main") or role in ("article", "main")
+        if article:
+            self.loose = 0.0
         if tag == "a":
             self.link = True
-        if tag in BAD_TAGS or tag == "header" and not self.good:
-            self.bad = True
-        if attributes:
-            a = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-            role = a.get("role", "").lower()
-            if role in BAD_ROLES or "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
-                self.bad = True
-            article = article or role in ("main", "article")
-            words = {w.lower() for k in ("class", "id") for w in NAME_PART.findall(a.get(k, ""))}
-            if words & BAD_WORDS and not article and tag not in ("html", "body"):
-                self.bad = True
-            elif words & GOOD_WORDS and tag not in ("html", "body"):
+        if tag == "form":
+            self.loose = TAG_MARK
+        elif tag in BAD_TAGS or tag == "header" and not self.good:
+            self.firm = TAG_MARK
+        if role in BAD_ROLES or "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
+            self.firm = TAG_MARK
+        if tag not in ("html", "body"):
+            names = [n for k in ("class", "id") for n in a.get(k, "").split()]
+            for mark, ends in map(name_mark, names):
+                # An article may be named after what it is about.
+                if not ends and not (article and not self.good):
+                    self.firm = max(self.firm, mark)
+                elif ends and not article:
+                    self.loose = max(self.loose, mark)
+            if any(not name_mark(n)[0] and GOOD_WORDS.intersection(w.lower() for w in NAME_PART.findall(n)) for n in names) and not self.mark:
                 self.good = True
         self.good = self.good or article
 
+    @property
+    def mark(self) -> float:
+        return max(self.firm, self.loose)
+
 
 def blocks_of(page: str) -> list[tuple[str, Element, int]]:
     """(text, element, characters inside links) of each block with text, in page order."""
@@ -146,8 +178,10 @@ def blocks_of(page: str) -> list[tuple[str, Element, int]]:
                 flush()
             continue
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            # Foreign elements may close themselves; without an end tag only these four run to the end of the page.
+            if not (name in ("svg", "math") and m[0].endswith("/>")):
+                close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                at = close.end() if close else end if name in ("script", "style", "textarea", "title") else at
             continue
         if name in BLOCK:
             flush()
@@ -174,10 +208,8 @@ def blocks_of(page: str) -> list[tuple[str, Element, int]]:
 
 def evidence(text: str, e: Element, linked: int, has_article: bool) -> float:
     """Above 0 for content, below 0 for boilerplate."""
-    if e.bad:
-        return -BAD
     words = text.count(" ") + 1
-    s = min(words, 40) / 10 - 5 * min(1.0, linked / len(text)) - 1.0
+    s = min(words, 40) / 10 - 5 * min(1.0, linked / len(text)) - 1.0 - e.mark
     if text[-1] in ".!?:;\"')…»”":
         s += 1
     if e.tag == "p" or e.tag in HEADINGS:
@@ -266,7 +298,7 @@ def minimum_cut(evidences: list[float], edges: list[tuple[int, int, float]]) ->
 def extract(page: str) -> tuple[str, int, int]:
     """Text, number of blocks, number of content blocks."""
     blocks = blocks_of(page)
-    has_article = any(e.good and not e.bad for _, e, _ in blocks)
+    has_article = any(e.good and not e.mark for _, e, _ in blocks)
     scores = [evidence(t, e, n, has_article) for t, e, n in blocks]
     edges, last = [], {}
     for i, (_, e, _) in enumerate(blocks):

@@ -105,6 +105,17 @@ LONG = "This paragraph is long enough, with commas and words, to count as conten
         (f"<article><table><tr><td>one<td>two</table><p>{LONG}</article>", f"one two {LONG}"),
         (f"<header><p>{LONG}</p></header><article><p>{LONG}</article><div role=dialog><p>{LONG}</div><button>Buy</button>", LONG),
         ("<<<>>> <a href=\"x>y", "<<<>>>"),
+        # Wrappers named after layout, or after parts.
+        (f"<div id='content' class='has-sidebar'><article><p>{LONG}</p></article></div><div class='sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<div class='page no-sidebar'><main><p>{LONG}</p></main></div>", LONG),
+        (f"<div class='col-text form-group'><article><p>{LONG}</p></article></div>", LONG),
+        (f"<article><div class='notice-free text'><p>{LONG}</p></div></article>", LONG),
+        (f"<form id=aspnetForm><div class=menu>a b</div><article><p>{LONG}</p><form><p>{LONG}</form></article></form>", LONG),
+        (f"<article><p>{LONG}</p><div class='comment-body'><p>{LONG}</p></div><div class='post-footer'>By a person.</div></article>", LONG),
+        (f"<section id=comments><article><p>{LONG}</p></article></section><article><p>{LONG}</p></article>", LONG),
+        # Foreign and unclosed elements.
+        (f"<article><svg viewBox='0 0 1 1'/><p>{LONG}</p><math/><object data=x><p>{LONG}</article>", f"{LONG} {LONG}"),
+        (f"<article><p>{LONG}</p><script>var x = '<p>no'", LONG),
     ],
 )
 def test_main_text(page, text):
@@ -112,6 +123,49 @@ def test_main_text(page, text):
     assert got == text or (page.startswith("<<<") and got in ("", text))
 
 
+def generated_page(rnd):
+    """A page around a known article, and its text."""
+    word = lambda: "".join(rnd.choices("abcdefghijklmnoprstuvwz", k=rnd.randint(2, 9)))
+    sentence = lambda n: " ".join(word() for _ in range(n)).capitalize() + rnd.choice(".!?")
+    blocks, body = [], []
+    for _ in range(rnd.randint(1, 12)):
+        text = " ".join(sentence(rnd.randint(3, 25)) for _ in range(rnd.randint(1, 5)))
+        kind = rnd.choice(["p", "p", "p", "h2", "li", "blockquote", "br", "entity"])
+        if kind == "br":
+            first, second = text, sentence(8)
+            blocks += [first, second]
+            body.append(f"<p>{first}<br>\n {second}</p>")
+            continue
+        blocks.append(text + (" <é> & more." if kind == "entity" else ""))
+        inner = text.replace(" ", rnd.choice([" ", "\n\t", "  "]), 1).replace(text.split()[0], f"<b>{text.split()[0]}</b>", 1)
+        body.append({"li": f"<ul><li>{inner}</ul>", "entity": f"<p>{inner} &lt;&eacute;&gt; &amp; more."}.get(kind, f"<{kind}>{inner}</{kind}>"))
+    title = sentence(5)
+    noise = [
+        lambda: f"<nav><ul>{''.join(f'<li><a href=/{word()}>{word()}</a>' for _ in range(6))}</ul></nav>",
+        lambda: f"<div class='{rnd.choice(['ad', 'ad-banner', 'sponsored box', 'promo'])}'><p>{sentence(20)}</p></div>",
+        lambda: f"<aside><h3>{word()}</h3><p>{sentence(30)}</p></aside>",
+        lambda: f"<div class='{rnd.choice(['cookie-notice', 'newsletter', 'social share', 'related-posts'])}'>{sentence(12)}</div>",
+        lambda: f"<section id=comments><div class=comment><p>{sentence(25)}</p></div><div class='comment-body'>{sentence(9)}</div></section>",
+        lambda: f"<form action=/s><label>{word()}</label><input name=q><button>{word()}</button></form>",
+        lambda: f"<script>if (a < b) x('<p>{word()}</p>')</script><style>p {{ margin: 0 }}</style><!-- <p>{word()}</p> -->",
+        lambda: f"<div style='display: none'><p>{sentence(22)}</p></div><svg/>",
+    ]
+    some = lambda n: "".join(rnd.choice(noise)() for _ in range(rnd.randint(0, n)))
+    main = f"<h1>{title}</h1>" + "".join(b + (some(1) if rnd.random() < 0.3 else "") for b in body)
+    tag = rnd.choice(["article", "main", "div class='entry-content'", "div id=content", "section role=main", "div class=post"])
+    inner = rnd.choice(["{}", "<div class='text'>{}</div>", "<div class='notice-free text'>{}</div>", "<div class='row'>{}</div>"]).format(main)
+    page = f"<{tag}>{inner}</{tag.split()[0]}>"
+    wrap = rnd.choice(["{}", "<div class='has-sidebar'>{}</div>", "<div class='page no-sidebar'><div>{}</div></div>", "<div class='col-text with-menu'>{}</div>", "<div id=wrapper>{}</div>"])
+    page = f"<html><head><title>{title}</title></head><body><header><p>{sentence(15)}</p></header>{some(3)}{wrap.format(page)}{some(3)}<footer>&copy; {sentence(20)}</footer>"
+    return page, " ".join([title, *blocks])
+
+
+def test_main_text_of_generated_pages():
+    rnd = random.Random(21)
+    pages = [generated_page(rnd) for _ in range(500)]
+    assert [p for p, t in pages if maintext.extract(p)[0] != t] == []
+
+
 def test_minimum_cut_against_all_labels():
     rnd = random.Random(7)
     for _ in range(150):
