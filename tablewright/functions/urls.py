@@ -60,7 +60,7 @@ def followable(href: Column) -> Column:
 
 
 def is_sitemap(body: Column) -> Column:
-    return F.startswith(body, F.lit("<?xml")) | body.contains("<urlset") | body.contains("<sitemapindex")
+    return body.rlike(r"\A\s*<\?xml") | body.contains("<urlset") | body.contains("<sitemapindex")
 
 
 def sitemap_links(body: Column) -> Column:

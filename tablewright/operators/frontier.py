@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,30 +12,21 @@ from pyspark.sql import functions as F
 from tablewright.functions import text as T
 from tablewright.functions import urls as U
 from tablewright.operators.adapters import WORK, get_adapter, work_item
+from tablewright.operators.harvest import with_text
 from tablewright.sources import html_tables as H
-from tablewright.sources.robots import can_fetch
-
-
-def table_keep(df: DataFrame, name: str = "frontier") -> DataFrame:
-    """Write to the shared checkpoint folder and read back: each round's state survives lost executors.
-    Without such a folder (one machine) a reliable checkpoint is not possible and the frame is cached."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df.cache()
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from tablewright.sources import links as L
+from tablewright.sources.files import table_keep
+from tablewright.sources.robots import can_fetch, fetch_robots
 
 
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """src, dst, pos: sitemap locations as they are, anchors resolved; distinct, in sorted order."""
-    body = F.coalesce(F.col(html), F.lit(""))
-    p = pages.select(F.col(url).alias("src"), U.is_sitemap(body).alias("is_map"), U.sitemap_links(body).alias("locs"), U.page_links(body).alias("hrefs"))
-    maps = p.filter("is_map").select("src", F.explode("locs").alias("dst"))
-    anchors = p.filter(~F.col("is_map")).select("src", F.explode(F.array_distinct("hrefs")).alias("href"))
-    anchors = anchors.select("src", U.resolve(F.col("src"), F.col("href")).alias("dst")).filter(F.col("dst").isNotNull())
-    return maps.unionByName(anchors).distinct()
+    """src, dst: sitemap locations as they are, anchors resolved; distinct. Anchors are read by the parser, as a browser
+    does: unquoted values, decoded references, nothing in comments or scripts. Both in one Arrow pass."""
+    p = pages.select(F.col(url).alias("src"), F.coalesce(F.col(html), F.lit("")).alias("body"))
+    p = p.select("src", "body", U.is_sitemap(F.col("body")).alias("is_map"))
+    maps = p.filter("is_map").select("src", F.explode(U.sitemap_links(F.col("body"))).alias("dst"))
+    anchors = L.anchors_of(p.filter(~F.col("is_map")), "src", "body")
+    return maps.unionByName(anchors.select("src", "dst").filter(F.col("dst") != "")).distinct()
 
 
 def bounded_bfs(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None, allowed: Callable[[Column], Column] | None = None, keep: Callable[[DataFrame], DataFrame] = table_keep) -> DataFrame:
@@ -103,13 +93,19 @@ def run_census(
     max_depth: int | None = None,
     max_pages: int | None = None,
     keep: Callable[[DataFrame], DataFrame] = table_keep,
+    obey_robots: bool = False,
+    agent: str = "*",
 ) -> Census:
     """One frontier for all shards. owner is a column: one seed is shared and each of its links has the shard of
     its own hash; several seeds have the shard of theirs, and what they lead to inherits it. A URL is fetched once,
     whatever branches reach it. Seeds pass the allow-list but not robots. Pages that are work items are leaves.
-    Only a caller's max_depth or max_pages ends it before the frontier is empty."""
+    Only a caller's max_depth or max_pages ends it before the frontier is empty. robots: host, rules; without it,
+    obey_robots asks the hosts of seeds and domains themselves. agent is the name that the rules are read for."""
     adapter = get_adapter(source)
     start = seeds.select("url").distinct()
+    if robots is None and obey_robots:
+        hosts = start.unionByName(start.sparkSession.createDataFrame([(f"https://{d}/",) for d in domains], "url string"))
+        robots = keep(fetch_robots(hosts, fetch))
     single = start.limit(2).count() == 1
     owner = F.lit(None).cast("int") if single else T.shard_of(F.col("url"), shards)
     front = keep(start.withColumn("owner", owner))
@@ -119,21 +115,21 @@ def run_census(
         asked = front if room is None else front.orderBy("url").limit(room)
         if robots is not None:
             asked = asked.withColumn("host", U.url_host(F.col("url"))).join(robots, "host", "left")
-            asked = asked.withColumn("may", can_fetch(F.coalesce("rules", F.lit("")), F.col("url"))).drop("host", "rules")
+            asked = asked.withColumn("may", can_fetch(F.coalesce("rules", F.lit("")), F.col("url"), agent)).drop("host", "rules")
         else:
             asked = asked.withColumn("may", F.lit(True))
         asked = keep(asked)
-        got = keep(fetch(asked.filter("may").drop("may")).withColumn("depth", F.lit(depth)))
+        got = keep(with_text(fetch(asked.filter("may").drop("may"))).withColumn("depth", F.lit(depth)))
         denied = asked.filter(~F.col("may")).select("url", "owner", F.lit("robots_denied").alias("status"), F.lit(None).cast("int").alias("status_code"), F.lit(None).cast("string").alias("error"), F.lit(depth).alias("depth"))
         ledgers.append(denied.unionByName(got.select("url", "owner", "status", "status_code", "error", "depth")))
         ok = got.filter(F.col("status") == "ok")
-        pages.append(ok.select("url", "owner", F.col("body").alias("html"), "depth"))
+        pages.append(ok.select("url", "owner", "html", "depth", "content_sha256", F.col("body").cast("binary").alias("body")))
         if room is not None:
             room -= asked.count()
         if room is not None and room <= 0 or depth == max_depth:
             break
         inner = ok.filter(work_item(source, F.lit(dataset), F.col("url")).isNull())
-        links = page_edges(inner, "url", "body").join(inner.select(F.col("url").alias("src"), "owner"), "src")
+        links = page_edges(inner, "url", "html").join(inner.select(F.col("url").alias("src"), "owner"), "src")
         links = links.filter(U.url_allowed(F.col("dst"), domains, prefixes))
         heir = F.coalesce("owner", T.shard_of(F.col("dst"), shards)) if single else F.col("owner")
         step = links.select(F.col("dst").alias("url"), heir.alias("owner")).groupBy("url").agg(F.min("owner").alias("owner"))

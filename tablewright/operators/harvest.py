@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import text as T
 from tablewright.operators.adapters import get_adapter, observed_dictionary
 from tablewright.sources import html_tables as H
+from tablewright.sources.files import table_keep
 
 PARSER_VERSION = "1"
 Fetch = Callable[[DataFrame], DataFrame]
@@ -29,6 +30,13 @@ def page_table_fetch(pages: DataFrame, url: str = "url", html: str = "html") ->
     return fetch
 
 
+def with_text(fetched: DataFrame) -> DataFrame:
+    """Adds html, the body as text, and content_sha256 of the body's bytes as they were received."""
+    received = dict(fetched.dtypes)["body"] == "binary"
+    text = T.page_text(F.col("body")) if received else F.col("body")
+    return fetched.withColumns({"html": text, "content_sha256": T.content_sha256(F.col("body").cast("binary"))})
+
+
 def owned(work: DataFrame, shard_id: int, shards: int, prepartitioned: bool = False) -> DataFrame:
     return work if prepartitioned else work.filter(T.shard_of(F.col("key"), shards) == shard_id)
 
@@ -55,14 +63,14 @@ def run_harvest(
     shards: int = 1,
     prepartitioned: bool = False,
     artifact_run_id: str = "",
-    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+    keep: Callable[[DataFrame], DataFrame] = table_keep,
 ) -> Harvest:
     """keep is applied once to the fetched pages and once to the parsed tables, which several results
-    read: write them or cache them there. Pages are parsed once, for records and dictionary alike."""
+    read: by default both are written to the shared folder, so nothing is fetched or parsed twice."""
     adapter = get_adapter(source)
     mine = owned(work, shard_id, shards, prepartitioned)
     fetched = keep(fetch(mine))
-    pages = fetched.filter(F.col("status") == "ok").select("url", F.col("body").alias("html"), T.content_sha256(F.col("body").cast("binary")).alias("content_sha256"))
+    pages = with_text(fetched.filter(F.col("status") == "ok")).select("url", "html", "content_sha256", F.col("body").cast("binary").alias("body"))
     distinct = pages.dropDuplicates(["url"])
     tables = keep(H.tables_of(distinct))
     stamp = distinct.select(F.col("url").alias("source_url"), "content_sha256")
@@ -92,4 +100,4 @@ def run_harvest(
     # Columns of pages that gave records only, as a page that fails is not observed.
     if entries is not None:
         entries = observed_dictionary(entries.join(found.select(F.col("url").alias("source_url")), "source_url", "left_semi"))
-    return Harvest(records, ledger, entries, pages.select("content_sha256", "html").dropDuplicates(["content_sha256"]))
+    return Harvest(records, ledger, entries, pages.select("content_sha256", "body").dropDuplicates(["content_sha256"]))

@@ -230,9 +230,10 @@ SELECT user_id, CASE WHEN denied = requests THEN 'every request was denied by ro
     "crawl_depths": """
 WITH e AS (SELECT DISTINCT 'c' || o_custkey::VARCHAR AS src, 'o' || o_orderkey::VARCHAR AS dst FROM orders UNION SELECT 'o' || l_orderkey::VARCHAR, 'p' || l_partkey::VARCHAR FROM lineitem
   UNION SELECT 'p' || l_partkey::VARCHAR, 's' || l_suppkey::VARCHAR FROM lineitem UNION SELECT 's' || l_suppkey::VARCHAR, 'c' || l_suppkey::VARCHAR FROM lineitem),
-d0 AS (SELECT DISTINCT 'c' || c_custkey::VARCHAR AS url, 0 AS depth FROM customer WHERE c_custkey % 100 = 0), d1 AS (SELECT DISTINCT dst AS url, 1 AS depth FROM e JOIN d0 ON src = url),
-d2 AS (SELECT DISTINCT dst AS url, 2 AS depth FROM e JOIN d1 ON src = url), d3 AS (SELECT DISTINCT dst AS url, 3 AS depth FROM e JOIN d2 ON src = url)
-SELECT url, min(depth)::INTEGER AS depth FROM (SELECT * FROM d0 UNION ALL SELECT * FROM d1 UNION ALL SELECT * FROM d2 UNION ALL SELECT * FROM d3) GROUP BY url""",
+d0 AS (SELECT DISTINCT 'c' || c_custkey::VARCHAR AS url, 0 AS depth FROM customer), d1 AS (SELECT DISTINCT dst AS url, 1 AS depth FROM e JOIN d0 ON src = url),
+d2 AS (SELECT DISTINCT dst AS url, 2 AS depth FROM e JOIN d1 ON src = url), d3 AS (SELECT DISTINCT dst AS url, 3 AS depth FROM e JOIN d2 ON src = url),
+d4 AS (SELECT DISTINCT dst AS url, 4 AS depth FROM e JOIN d3 ON src = url), d5 AS (SELECT DISTINCT dst AS url, 5 AS depth FROM e JOIN d4 ON src = url)
+SELECT url, min(depth)::INTEGER AS depth FROM (SELECT * FROM d0 UNION ALL SELECT * FROM d1 UNION ALL SELECT * FROM d2 UNION ALL SELECT * FROM d3 UNION ALL SELECT * FROM d4 UNION ALL SELECT * FROM d5) GROUP BY url""",
     "census_surfaces": f"""
 WITH s AS (SELECT '{ROOT}/football/roster/t-S' || s_suppkey::VARCHAR || '/y-1963' AS url, 'S' || s_suppkey::VARCHAR AS team, '{ROOT}/football/l-n' || s_nationkey::VARCHAR AS nation FROM supplier)
 SELECT url, '1963|' || team AS key, 1963 AS season, team, {shard('nation', 3)} AS owner, 1 AS row_count, '["col_0","player","season","team"]' AS columns_json,
@@ -240,6 +241,17 @@ SELECT url, '1963|' || team AS key, 1963 AS season, team, {shard('nation', 3)} A
     "census_request_counts": """
 SELECT 'ok' AS status, 0 AS depth, 1::BIGINT AS requests UNION ALL SELECT 'ok', 1, count(DISTINCT s_nationkey)::BIGINT FROM supplier UNION ALL SELECT 'ok', 2, count(*)::BIGINT FROM supplier
 UNION ALL SELECT * FROM (SELECT 'absent', 1, count(*)::BIGINT AS n FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)) WHERE n > 0""",
+    "census_links": """
+WITH s AS (SELECT 'https://h.example/a/s' || s_suppkey::VARCHAR AS src, s_suppkey::VARCHAR AS k FROM supplier)
+SELECT src, 'https://h.example/u' || k AS dst FROM s UNION ALL SELECT src, 'https://h.example/q?a=' || k || '&b=2' FROM s UNION ALL SELECT src, src || '#f' FROM s
+UNION ALL SELECT src, 'https://h.example/a/next/' || k FROM s
+UNION ALL SELECT 'https://h.example/map' || n_nationkey::VARCHAR, 'https://h.example/m' || n_nationkey::VARCHAR FROM nation""",
+    "census_depths": f"""
+WITH m AS (SELECT min(r_regionkey) AS first, max(r_regionkey) AS last FROM region)
+SELECT '{ROOT}/football/' AS url, 'ok' AS status, 200 AS status_code, 0 AS depth
+UNION ALL SELECT '{ROOT}/football/d' || r_regionkey::VARCHAR, 'ok', 200, (r_regionkey - first + 1)::INTEGER FROM region, m
+UNION ALL SELECT '{ROOT}/football/d' || (last + 1)::VARCHAR, 'absent', 404, (last - first + 2)::INTEGER FROM m
+UNION ALL SELECT '{ROOT}/football/roster/t-N' || n_nationkey::VARCHAR || '/y-1963', 'ok', 200, (n_regionkey - first + 2)::INTEGER FROM nation, m""",
     "sampled_family": f"SELECT url, page_id AS pos FROM pages WHERE {pattern(PATH)} = '/en/{{n}}' ORDER BY page_id LIMIT 12",
     "running_labels": """
 WITH f AS (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS flag FROM lineitem GROUP BY ALL)

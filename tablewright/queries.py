@@ -483,8 +483,8 @@ def crawl_depths(spark, d):
         i.select(node("p", "l_partkey"), node("s", "l_suppkey")),
         i.select(node("s", "l_suppkey"), node("c", "l_suppkey")),
     ]
-    seeds = read(spark, d, "customer").filter("c_custkey % 100 = 0").select(node("c", "c_custkey").alias("url"))
-    return C.bounded_bfs(seeds, reduce(DataFrame.union, edges).distinct(), 3)
+    seeds = read(spark, d, "customer").select(node("c", "c_custkey").alias("url"))
+    return C.bounded_bfs(seeds, reduce(DataFrame.union, edges).distinct())
 
 
 def census_pages(spark, d) -> DataFrame:
@@ -517,6 +517,38 @@ def census_request_counts(spark, d):
     return c.ledger.groupBy("status", "depth").agg(F.count(F.lit(1)).alias("requests"))
 
 
+@query
+def census_links(spark, d):
+    """Links of pages with unquoted values, references, capitals, fragments, repeats, comments, scripts and a sitemap."""
+    k = num("s_suppkey")
+    html = F.concat(
+        F.lit("<!-- <a href='/no"), k, F.lit("'>x</a> --><a class=b href=/u"), k, F.lit(">u</a><A HREF='/q?a="), k, F.lit("&amp;b=2'>q</A><a href=#f>f</a><a name=x>n</a><a href=''>e</a>"),
+        F.lit("<a href=/u"), k, F.lit(">again</a><script>x = \"<a href='/js"), k, F.lit("'>\"</script><a\nhref=\"next/"), k, F.lit("\">n</a>"),
+    )
+    page = read(spark, d, "supplier").select(F.concat(F.lit("https://h.example/a/s"), k).alias("url"), html.alias("html"))
+    locs = F.concat(F.lit("\n <?xml version='1.0'?><urlset><loc> https://h.example/m"), num("n_nationkey"), F.lit(" </loc></urlset>"))
+    maps = read(spark, d, "nation").select(F.concat(F.lit("https://h.example/map"), num("n_nationkey")).alias("url"), locs.alias("html"))
+    return C.page_edges(page.unionByName(maps))
+
+
+@query
+def census_depths(spark, d):
+    """A site six links deep: the start page leads to the page of the first region, each region's to the next one's and to the
+    roster pages of its nations; the last one's next page is missing."""
+    r, n = read(spark, d, "region"), read(spark, d, "nation")
+    root = "https://www.statscrew.com"
+    anchor = lambda c: F.concat(F.lit("<a href="), c, F.lit(">x</a>"))
+    team = F.concat(F.lit("/football/roster/t-N"), num("n_nationkey"), F.lit("/y-1963"))
+    own = n.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list(anchor(team))), "").alias("nations"))
+    middle = r.join(own, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    after = F.concat(F.lit("/football/d"), (F.col("r_regionkey") + 1).cast("string"))
+    middle = middle.select(F.concat(F.lit(f"{root}/football/d"), num("r_regionkey")).alias("url"), F.concat(anchor(after), F.coalesce("nations", F.lit(""))).alias("html"))
+    start = r.agg(F.min("r_regionkey").alias("k")).select(F.lit(f"{root}/football/").alias("url"), anchor(F.concat(F.lit("/football/d"), num("k"))).alias("html"))
+    leaf = n.select(F.concat(F.lit(root), team).alias("url"), F.lit("<a href=/football/d99>x</a>").alias("html"))
+    c = C.run_census("statscrew", "team_season_roster", start.select("url"), V.page_table_fetch(start.unionByName(middle).unionByName(leaf)), ["www.statscrew.com"], ["/football/"])
+    return c.ledger.select("url", "status", "status_code", "depth")
+
+
 @query
 def sampled_family(spark, d):
     p = read(spark, d, "pages").select("url", F.col("page_id").alias("pos"), U.url_pattern(U.url_path(F.col("url"))).alias("url_pattern"))

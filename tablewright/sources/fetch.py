@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import text as T
 from tablewright.functions.urls import url_host
 
-RESPONSE = "status_code int, body string, content_type string, error string"
+RESPONSE = "status_code int, body binary, content_type string, error string"
 
 
 class BudgetExhausted(RuntimeError):
@@ -75,8 +75,8 @@ class HttpClient:
         return seen
 
 
-def http_fetch(policy: Policy) -> Callable[[DataFrame], DataFrame]:
-    """A fetch for harvest and census: a host's requests stay in one task, so its pace holds. What a spent
+def http_fetch(policy: Policy, urlopen: Callable = urllib.request.urlopen) -> Callable[[DataFrame], DataFrame]:
+    """A fetch for harvest and census, with bodies as they were received: a host's requests stay in one task, so its pace holds, in the order of key (or url). What a spent
     budget leaves out is status `budget_exhausted`, never a lost ledger."""
 
     def fetch(wanted: DataFrame) -> DataFrame:
@@ -85,19 +85,19 @@ def http_fetch(policy: Policy) -> Callable[[DataFrame], DataFrame]:
         def work(frames):
             import pandas as pd
 
-            client = HttpClient(policy)
+            client = HttpClient(policy, urlopen=urlopen)
             for frame in frames:
                 got = []
                 for url in frame["url"]:
                     try:
                         code, body, kind, error = client.fetch(url)
-                        got.append((code, body.decode("utf-8", "replace") if 200 <= code < 300 else None, kind, error))
+                        got.append((code, body if 200 <= code < 300 else None, kind, error))
                     except BudgetExhausted as e:
                         got.append((None, None, None, f"budget: {e}"))
                 yield pd.concat([frame.reset_index(drop=True), pd.DataFrame(got, columns=["status_code", "body", "content_type", "error"]).astype({"status_code": "Int32"})], axis=1)
 
         schema = ", ".join(f"`{c}` {t}" for c, t in wanted.dtypes) + ", " + RESPONSE
-        asked = wanted.repartition(url_host(F.col("url"))).mapInPandas(work, schema)
+        asked = wanted.repartition(url_host(F.col("url"))).sortWithinPartitions("key" if "key" in names else "url").mapInPandas(work, schema)
         status = F.when(F.col("status_code").isNull(), "budget_exhausted").when(F.col("status_code") == 0, "network_error").otherwise(T.status_class(F.col("status_code")))
         return asked.select(*names, "status_code", status.alias("status"), "body", "error")
 

@@ -3,15 +3,27 @@
 from __future__ import annotations
 
 import json
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MANIFEST_NAME, MANIFEST_VERSION = "ARTIFACT_MANIFEST.json", 1
 
 
+def table_keep(df: DataFrame, name: str = "kept") -> DataFrame:
+    """Write to the shared checkpoint folder and read back: each round's state survives lost executors.
+    Without such a folder (one machine) a reliable checkpoint is not possible and the frame is cached."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df.cache()
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Seed inventory year, team as text; year as a number beside it."""
     d = spark.read.schema("year string, team string").csv(path, header=True)
@@ -67,8 +79,9 @@ def write_records(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_raw(pages: DataFrame, path: str) -> None:
-    """Pages by content: one row for each distinct body, compressed by the writer."""
-    raw = pages.select(F.sha2(F.col("html").cast("binary"), 256).alias("content_sha256"), F.col("html").cast("binary").alias("body"))
+    """Pages by content: one row for each distinct body (bytes), or html (text), compressed by the writer."""
+    body = F.col("body" if "body" in pages.columns else "html").cast("binary")
+    raw = pages.select(F.sha2(body, 256).alias("content_sha256"), body.alias("body"))
     raw.dropDuplicates(["content_sha256"]).write.mode("overwrite").option("compression", "gzip").parquet(path)
 
 
@@ -103,6 +116,17 @@ def build_manifest(spark: SparkSession, directory: str, *, source: str, dataset:
     }
 
 
+def write_manifest(spark: SparkSession, directory: str, **names) -> dict:
+    """The manifest of a finished folder, written into it on whatever store it is."""
+    manifest = build_manifest(spark, directory, **names)
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/{MANIFEST_NAME}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(json.dumps(manifest, indent=2).encode()))
+    out.close()
+    return manifest
+
+
 def verify_files(listed: DataFrame, found: DataFrame) -> DataFrame:
     """listed and found: path, sha256. The first failing rule of each listed file: path, problem."""
     f = found.select(F.col("path").alias("p"), F.col("sha256").alias("actual"))
@@ -124,7 +148,3 @@ def verify_manifest(spark: SparkSession, directory: str, manifest: dict | None =
         return []
     listed = spark.createDataFrame([(f["path"], f["sha256"]) for f in manifest["files"]], "path string, sha256 string")
     return [f"{r['problem']}: {r['path']}" for r in verify_files(listed, file_digests(spark, directory)).orderBy("path").collect()]
-
-
-def with_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(W.orderBy(*order)) - 1)

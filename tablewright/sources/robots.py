@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.urls import robots_url, url_host
+
 DENY_ALL, ALLOW_ALL = "User-agent: *\nDisallow: /", ""
 
 
@@ -17,6 +21,19 @@ def robots_rules(responses: DataFrame) -> DataFrame:
     return responses.select("host", rules.alias("rules"))
 
 
+def fetch_robots(urls: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """urls: url -> host, rules, by asking each host once. An answer that a spent budget left out allows nothing."""
+    asked = urls.select(robots_url(F.col("url")).alias("url"), url_host(F.col("url")).alias("host"))
+    got = fetch(asked.filter(F.col("url").isNotNull()).dropDuplicates(["host"])).withColumn("body", page_body(F.col("body")))
+    spent = F.col("status") == "budget_exhausted"
+    return robots_rules(got.withColumn("status_code", F.when(spent, 403).otherwise(F.col("status_code"))))
+
+
+def page_body(body: Column) -> Column:
+    """Bytes or text as text."""
+    return F.make_valid_utf8(F.coalesce(body.cast("string"), F.lit("")))
+
+
 def can_fetch(rules: Column, url: Column, agent: str = "*") -> Column:
     @F.pandas_udf("boolean")
     def allowed(rules: pd.Series, url: pd.Series) -> pd.Series:

@@ -405,3 +405,42 @@ def test_command_line(spark, tmp_path):
     main(["discover", *common, "--out", str(tmp_path / "found")])
     main(["report", *common, "--work", str(tmp_path / "found"), "--out", str(tmp_path / "report")])
     assert spark.read.parquet(str(tmp_path / "report/report")).count() == spark.read.parquet(str(tmp_path / "found/patterns")).count() > 0
+
+
+def test_command_line_over_http(spark, tmp_path):
+    """A census that fetches: robots rules for its own name, seeds of an inventory, bytes and their hashes, manifest."""
+    import hashlib
+
+    from tablewright.__main__ import main
+
+    root, odd = "https://h.example", b"<a href=/football/roster/t-B/y-1930>\xff</a><table><tr><th>#</th><th>Player</th></tr><tr><td>1</td><td><a href=/football/stats/p-b1>B</a></td></tr></table>"
+
+    def urlopen(request, timeout):
+        import io
+        import urllib.error
+        from email.message import Message
+
+        path = request.full_url.removeprefix("https://h.example")
+        bodies = {"/robots.txt": b"User-agent: other\nDisallow: /\n\nUser-agent: reader\nDisallow: /football/roster/t-C", "/football/roster/t-A/y-1930": odd, "/football/roster/t-C/y-1930": odd}
+        if path not in bodies:
+            raise urllib.error.HTTPError(request.full_url, 404, "none", Message(), None)
+        answer = io.BytesIO(bodies[path])
+        answer.status, answer.headers = 200, {"Content-Type": "text/html"}
+        return answer
+
+    (tmp_path / "teams.csv").write_text("year,team\n1930,A\n1930,C\n1930,D\n1999,A\n")
+    c = {"sources": {"statscrew": {"domains": ["h.example"], "delay_seconds": 0, "datasets": {"team_season_roster": {"first_year": 1920, "last_year": 1940, "allowed_prefixes": ["/football/"], "seed_inventory": "teams.csv", "census_seed_template": root + "/football/roster/t-{team}/y-{year}"}}}}}
+    (tmp_path / "c.json").write_text(json.dumps(c))
+    common = ["--catalog", str(tmp_path / "c.json"), "--source", "statscrew", "--dataset", "team_season_roster", "--agent", "reader", "--run-id", "r2"]
+    main(["census", *common, "--out", str(tmp_path / "census")], urlopen)
+    ledger = {r["url"][-10:-7]: (r["status"], r["status_code"]) for r in spark.read.parquet(str(tmp_path / "census/ledger")).collect()}
+    assert ledger == {"t-A": ("ok", 200), "t-C": ("robots_denied", None), "t-D": ("absent", 404)}
+    raw = spark.read.parquet(str(tmp_path / "census/raw")).collect()
+    assert [(bytes(r["body"]), r["content_sha256"]) for r in raw] == [(odd, hashlib.sha256(odd).hexdigest())]
+    assert [json.loads(x.value)["key"] for x in spark.read.text(str(tmp_path / "census/work_lines")).collect()] == ["1930|A"]
+    assert S.verify_manifest(spark, str(tmp_path / "census")) == []
+    main(["harvest", *common, "--work", str(tmp_path / "census/work"), "--out", str(tmp_path / "harvest")], urlopen)
+    row = spark.read.parquet(str(tmp_path / "harvest/records")).first()
+    assert row["player"] == "B" and row["content_sha256"] == hashlib.sha256(odd).hexdigest()
+    manifest = json.loads((tmp_path / "harvest/ARTIFACT_MANIFEST.json").read_text())
+    assert manifest["dataset"] == "team_season_roster" and {f["path"].split("/")[0] for f in manifest["files"]} >= {"ledger", "records", "raw"}
