@@ -19,7 +19,7 @@ of open nodes are put in one order, those that nodes of one class alone hold fir
 their holders; two texts of n k-mers that reach the threshold share one of their first n - 0.8 n + 1.
 So nodes meet at their rare k-mers only, and a passage that very many texts hold brings none together. At
 each of these k-mers the nodes of different classes are compared, in blocks of a bounded number of rows, by
-their sizes and profiles: a profile counts the k-mers in BINS bins of their hash, and the sum of the lesser
+their sizes and profiles, and go on only where they share none of the k-mers just before: a profile counts the k-mers in BINS bins of their hash, and the sum of the lesser
 counts of two profiles is at least their common k-mers. What the bounds leave open is verified. So of any two
 nodes that share a sketch, either the pair was decided or they are in one class: the classes are those that all
 pairs with a common sketch would give.
@@ -58,6 +58,8 @@ WORD_LIMIT = 100_000
 #: Bins of a profile, and rows of one side of a block that are compared at a time.
 BINS = 128
 BLOCK = 1024
+#: Earlier k-mers that a row of the prefix filter knows of.
+BEFORE = 16
 #: k-mers times sketches that are held at a time.
 CELLS = 2_000_000
 
@@ -244,8 +246,8 @@ def kmers_of(words: DataFrame) -> DataFrame:
 
 
 def prefix_rows(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """nodes: id, root, n_kmers, kmers -> kmer, id: of each node, those of its first k-mers that nodes of several classes hold.
-    Where they stand in the order: after all k-mers of one class, which need no rows to be counted."""
+    """nodes: id, root, n_kmers, kmers -> kmer, id, before: of each node, those of its first k-mers that nodes of several
+    classes hold, and up to BEFORE of them that come before in the order. Where they stand in the order: after all k-mers of one class, which need no rows to be counted."""
     rows = nodes.select("id", "root", "n_kmers", F.explode("kmers").alias("kmer"))
     held = rows.groupBy("kmer").agg(F.count(F.lit(1)).alias("holders"), F.min("root").alias("least"), F.max("root").alias("greatest"))
     rows = rows.join(held.filter("least <> greatest").select("kmer", "holders"), "kmer")
@@ -254,14 +256,15 @@ def prefix_rows(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     place = before + F.row_number().over(by.orderBy("holders", "kmer"))
     # prefix_length(n_kmers)
     length = F.col("n_kmers") - F.ceil(F.lit(similarity) * F.col("n_kmers") - 1e-9) + 1
-    return rows.withColumn("place", place).filter(F.col("place") <= length).select("kmer", "id")
+    before_it = F.collect_list("kmer").over(by.orderBy("holders", "kmer").rowsBetween(-BEFORE, -1))
+    return rows.withColumns({"place": place, "before": before_it}).filter(F.col("place") <= length).select("kmer", "id", "before")
 
 
 def rest_pairs(nodes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """nodes: id, root, n_kmers, profile, kmers -> a, b: the pairs of nodes of different roots that share a k-mer of
     their prefixes and whose sizes and profiles leave a link possible, each once."""
 
-    def links_of(i, root, side, n, raw):
+    def links_of(i, root, side, n, raw, before):
         # The rows of one block, by size, so that the nodes whose size may fit stand in a row.
         known = np.array([len(x) > 0 for x in raw])
         counts = np.frombuffer(b"".join(x or bytes(BINS) for x in raw), np.uint8).reshape(len(raw), BINS)
@@ -275,6 +278,9 @@ def rest_pairs(nodes: DataFrame, similarity: float = SIMILARITY, block: int = BL
             if known[at] and len(to):
                 most = np.minimum(counts[to], counts[at]).sum(axis=1, dtype=np.int64)
                 to = to[(most >= similarity * (n[at] + n[to] - most) - 1e-9) | ~known[to]]
+            if len(to) and before[at]:
+                # Two nodes that share an earlier k-mer of both have met there.
+                to = to[[before[at].isdisjoint(before[k]) for k in to.tolist()]]
             if len(to):
                 yield np.minimum(i[at], i[to]), np.maximum(i[at], i[to])
 
@@ -297,10 +303,11 @@ def rest_pairs(nodes: DataFrame, similarity: float = SIMILARITY, block: int = BL
             if not done:
                 continue
             raw = kept.column("profile").to_pylist()
+            before = [set(x) for x in kept.column("before").to_pylist()]
             found = []
             for u, v in zip(starts[:done].tolist(), ends[:done].tolist(), strict=True):
                 if v - u > 1:
-                    found.extend(links_of(node[u:v], root[u:v], side[u:v], n[u:v], raw[u:v]))
+                    found.extend(links_of(node[u:v], root[u:v], side[u:v], n[u:v], raw[u:v], before[u:v]))
             if found:
                 a, b = np.unique(np.concatenate(found, axis=1), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -311,7 +318,7 @@ def rest_pairs(nodes: DataFrame, similarity: float = SIMILARITY, block: int = BL
     held = held.filter("least <> greatest").select("kmer", F.ceil(F.col("n") / block).alias("blocks"))
     many = rows.join(held, "kmer").withColumn("side", F.pmod(F.xxhash64("id"), "blocks"))
     many = many.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    many = many.select("kmer", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"), "id", "root", "side", "n_kmers", "profile")
+    many = many.select("kmer", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"), "id", "root", "side", "n_kmers", "profile", "before")
     many = many.repartition("kmer", "i", "j").sortWithinPartitions("kmer", "i", "j", "n_kmers")
     return many.mapInArrow(compare, "a long, b long").distinct()
 
