@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's result as
 Parquet in the shared folder and reads it again as the next one's docs. All but the last return the
 columns of documents.
+
+Defined results: each stage decides row by row. Null and empty texts fail the quality rules. Rows with null or repeated doc_ids are
+told apart by their texts; rows alike in both share every decision, so they stay or go together. Other columns pass
+through unchanged; an empty table gives no rows.
 """
 
 from __future__ import annotations
