@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: The characters that separate words, as a set for trim() and as a regular expression.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]"
+#: A key is hot if it holds more than one in so many of all rows; so there are fewer hot keys than this.
+HOT = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,6 +51,19 @@ def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hot_keys(sizes: DataFrame, key: str, size: str, rows: int, hot: int = HOT) -> DataFrame:
+    """sizes: one row per key with the number of its rows, of `rows` in all -> the hot keys, fewer than `hot`."""
+    return written(sizes.filter(F.col(size) > rows / hot).select(key), "hot", few=True)
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """rows joined to groups, which has one row per key. Rows of hot keys (see hot_keys) stay where they are and
+    get their groups by a broadcast, whose size the number of hot keys bounds; the others are shuffled by key."""
+    of_hot = groups.join(F.broadcast(hot), key, "left_semi")
+    others = rows.join(F.broadcast(hot), key, "left_anti")
+    return rows.join(F.broadcast(of_hot), key).unionByName(others.join(groups, key))
+
+
 def text_or_empty(column: str | Column) -> Column:
     """Null texts count as empty ones."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

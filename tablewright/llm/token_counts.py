@@ -6,7 +6,8 @@ its own tokenizer's counts only. Documents are joined to it by both; of the dige
 Normalising here means that null becomes the empty text; nothing else may change, as any rewriting
 could change the count.
 
-Only digests, lengths and ids are grouped, so thousands of copies cost a row per task; texts move
+Only digests, lengths and ids are grouped, so thousands of copies cost a row per task, and the rows of a digest
+that holds more than a thousandth of them take their count from a broadcast; texts move
 once, by their own id, and only if they are the one that is encoded.
 
 Defined results: null text counts as empty; null doc_ids and repeated rows keep their rows; an empty
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import exists, text_or_empty, written
+from tablewright.llm.shared import exists, hot_keys, join_groups, text_or_empty, written
 from tablewright.llm.tokenize import version_digest
 
 CACHE = "digest binary, n_tokens long"
@@ -53,11 +54,12 @@ def count_tokens(
     keyed = written(d.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "digests")
 
     key = F.coalesce("doc_id", F.lit(NO_ID))
-    misses = keyed.join(cache.select("digest"), "digest", "left_anti")
-    chosen = misses.groupBy("digest").agg(F.min(key).alias("key"))
+    groups = written(keyed.groupBy("digest").agg(F.min(key).alias("key"), F.count(F.lit(1)).alias("size")), "digest-groups")
+    chosen = groups.join(cache.select("digest"), "digest", "left_anti").select("digest", "key")
     # A hash join, as sorting texts to pick some is the costlier way; its built side holds no text.
     texts = d.withColumn("key", key).join(chosen.hint("shuffle_hash"), ["key", "digest"], "left_semi").select("digest", "text")
     encode_counts(texts, tokenizer).write.mode("append").parquet(own)
 
     counts = spark.read.schema(CACHE).parquet(own).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
-    return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    hot = hot_keys(groups, "digest", "size", keyed.count())
+    return join_groups(keyed, counts, "digest", hot).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.llm import chat, exact, mixing, quality
+from tablewright.llm.shared import hot_keys, join_groups
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, words string"
 
@@ -267,3 +268,15 @@ def test_keep_selected_keeps_columns(spark):
     d = docs(spark, [(i, "one two three", f"s{i % 3}") for i in range(30)])
     out = mixing.keep_selected(d, F.lit("x"), F.expr("all_tokens div 2"), {})
     assert out.columns == d.columns and 13 <= out.count() <= 18
+
+
+@pytest.mark.parametrize("hot", [1, 4, 1000])
+def test_join_groups(spark, hot):
+    keys = ["a"] * 50 + ["b"] * 20 + [f"k{i}" for i in range(30)]
+    rows = spark.createDataFrame(list(enumerate(keys)), "id long, key string")
+    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    found = hot_keys(groups, "key", "n", len(keys), hot)
+    # Keys of more than all rows, of more than a quarter, of more than a thousandth.
+    assert {r.key for r in found.collect()} == {1: set(), 4: {"a"}, 1000: set(keys)}[hot]
+    n = Counter(keys)
+    assert sorted(map(tuple, join_groups(rows, groups, "key", found).select("id", "key", "n").collect())) == [(i, k, n[k]) for i, k in enumerate(keys)]
