@@ -17,8 +17,8 @@ stays.
 Defined results: null counts as empty, and all empty texts are equal; a null doc_id comes after
 all others; repeated rows of one doc_id and text share one verdict; an empty table gives no rows;
 other columns are ignored. Groups are counted before they are shuffled, so a group of any size
-costs one row per task; the join back to the rows is by the recipe's digest, whose large groups adaptive
-execution splits, and moves some 100 bytes a row. drop_copies decides row by row: rows of one doc_id (or none) with
+costs one row per task; the join back to the rows is by the recipe's digest and moves some 100 bytes a row,
+but the rows of a group that holds more than a thousandth of them stay in place and get its row by a broadcast. drop_copies decides row by row: rows of one doc_id (or none) with
 different texts are separate, and rows alike in doc_id and text stay or go together.
 """
 
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import SPACE, text_or_empty, written
+from tablewright.llm.shared import SPACE, hot_keys, join_groups, text_or_empty, written
 
 MIN_CHUNK, MAX_CHUNK = 64, 4096
 #: Letters by their code point modulo 4: 1, 2, 3, 0 and 1 again.
@@ -108,12 +108,14 @@ def exact_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     keep = F.col("most").cast("decimal(38,0)") * F.lit(ID_SPAN).cast("decimal(20,0)") - F.col("best")
     keep = F.nullif(keep.cast("decimal(38,0)").cast("long"), F.lit(NO_ID))
     groups = groups.select(
-        F.col("list_id").alias("of_list"),
+        "list_id",
         "most",
         "group_size",
         F.when(F.col("one"), keep).otherwise(F.raise_error(F.lit("two recipes share a digest"))).alias("keep_id"),
     )
-    j = r.select("doc_id", "raw", "n_points", "text_sha256", "list_id").join(groups, F.col("list_id") == F.col("of_list"))
+    groups = written(groups, "groups")
+    hot = hot_keys(groups, "list_id", "group_size", r.count())
+    j = join_groups(r.select("doc_id", "raw", "n_points", "text_sha256", "list_id"), groups, "list_id", hot)
     return j.select(
         "doc_id",
         "raw",
